@@ -20,9 +20,10 @@ def link_to_permno(facts: DataFrame, link: DataFrame, date_col: str) -> DataFram
     return facts.join(l, "gvkey", "inner").filter(cond).drop("linkdt", "linkenddt")
 
 
-def asof_join(panel: DataFrame, facts: DataFrame, by: str, panel_date: str, fact_date: str,
+def asof_join(panel: DataFrame, facts: DataFrame, by, panel_date: str, fact_date: str,
               value_cols: list[str], tie_cols: list[str] | None = None, strict: bool = False,
-              max_age_days: int | None = None, prefix: str = "", fact_by: str | None = None) -> DataFrame:
+              max_age_days: int | None = None, prefix: str = "", fact_by=None,
+              panel_shift_days: int = 0) -> DataFrame:
     """Attach to each panel row the newest fact with ``fact_date <= panel_date``.
 
     ``strict`` uses ``<`` instead. Ties on ``fact_date`` go to the greatest
@@ -31,17 +32,20 @@ def asof_join(panel: DataFrame, facts: DataFrame, by: str, panel_date: str, fact
     columns plus ``prefix + value`` for each value and ``prefix + fact_date``.
     """
     tie_cols = tie_cols or []
-    fact_by = fact_by or by
+    by = [by] if isinstance(by, str) else list(by)
+    fact_by = by if fact_by is None else ([fact_by] if isinstance(fact_by, str) else list(fact_by))
     payload = [F.col(fact_date).alias("_eff")] + [F.col(c).alias("_v_" + c) for c in value_cols]
     # facts sort before (inclusive) or after (strict) panel rows of the same date
     fact_k, panel_k = (1, 0) if strict else (0, 1)
-    f = facts.select(F.col(fact_by).alias("_by"), F.col(fact_date).alias("_t"), F.lit(fact_k).alias("_k"),
-                     *[F.col(c).alias("_tie" + str(i)) for i, c in enumerate(tie_cols)],
+    keys = [f"_by{i}" for i in range(len(by))]
+    f = facts.select(*[F.col(c).alias(k) for c, k in zip(fact_by, keys)], F.col(fact_date).alias("_t"),
+                     F.lit(fact_k).alias("_k"), *[F.col(c).alias("_tie" + str(i)) for i, c in enumerate(tie_cols)],
                      F.struct(*payload).alias("_fact"))
-    p = panel.select("*", F.col(by).alias("_by"), F.col(panel_date).alias("_t"), F.lit(panel_k).alias("_k"))
+    lookup = F.col(panel_date) if not panel_shift_days else F.date_sub(F.col(panel_date), panel_shift_days)
+    p = panel.select("*", *[F.col(c).alias(k) for c, k in zip(by, keys)], lookup.alias("_t"), F.lit(panel_k).alias("_k"))
     u = p.unionByName(f, allowMissingColumns=True)
     order = [F.col("_t"), F.col("_k")] + [F.col("_tie" + str(i)).asc_nulls_first() for i in range(len(tie_cols))]
-    w = Window.partitionBy("_by").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = u.withColumn("_m", F.last("_fact", ignorenulls=True).over(w)).filter(F.col("_k") == panel_k)
     m = F.col("_m")
     fresh = m.isNotNull()

@@ -7,7 +7,7 @@ Exchange for the whole pod.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.semantics import (
@@ -139,15 +139,43 @@ def pass5(df: DataFrame) -> DataFrame:
     return df.withColumn("MACD_hist", F.col("MACD") - F.col("MACD_signal"))
 
 
+RISK = ["r_market", "beta_1y", "VaR_95", "idiosyncratic_vol", "max_drawdown_60d"]
+
+
+def risk_pass(df: DataFrame) -> DataFrame:
+    """E-08, E-09, J-09..J-12 over 252/60-row frames (needs pass 2 and ``r_market``)."""
+    w = chunk_window(KEY)
+    f252 = w.rowsBetween(-251, Window.currentRow)
+    pairs = F.count(F.when(F.col("r").isNotNull() & F.col("r_market").isNotNull(), F.lit(1))).over(f252)
+    beta = F.regr_slope("r", "r_market").over(f252)
+    resid_var = F.var_samp("r").over(f252) - beta * beta * F.var_samp("r_market").over(f252)
+    df = df.withColumns({
+        "beta_1y": F.when(pairs >= 252, beta),
+        "VaR_95": full(lambda x: F.percentile(x, 0.05), "r", w, 252),
+        "idiosyncratic_vol": F.when(pairs >= 252, F.sqrt(F.greatest(resid_var, F.lit(0.0)))),
+        "_dd": ratio("close", "high_60") - 1,
+    })
+    return df.withColumn("max_drawdown_60d", full(F.min, "_dd", w, 60)).drop("_dd")
+
+
+def with_market(bars: DataFrame, market: DataFrame) -> DataFrame:
+    """C-10: r_market = ln(1 + vwretd) joined on date (a per-date table, bounded by the calendar)."""
+    m = market.select("date", safe_ln(1 + F.col("vwretd")).alias("r_market"))
+    return bars.join(m, "date", "left")
+
+
 def build_pod(bars: DataFrame, upto: int = 5, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-              halo_rows: int = POD_HALO_ROWS, materialize: bool = True) -> DataFrame:
+              halo_rows: int = POD_HALO_ROWS, materialize: bool = True, market: DataFrame | None = None) -> DataFrame:
     """Bars plus pod columns of passes 1..``upto``, one row per (permno, date).
 
     ``materialize`` checkpoints the split series to the shared checkpoint folder:
     the pod's chunk-total branch (OBV) and the window passes then read it once, and
     a lost executor recomputes from the checkpoint, not from the raw scan.
     """
-    df = split_bars(bars.select(*BAR_COLUMNS), chunk_rows, halo_rows)
+    base = bars.select(*BAR_COLUMNS)
+    if market is not None:
+        base = with_market(base, market)
+    df = split_bars(base, chunk_rows, halo_rows)
     if materialize:
         from tidemark.session import ensure_checkpoint_dir
 
@@ -156,4 +184,6 @@ def build_pod(bars: DataFrame, upto: int = 5, chunk_rows: int = DEFAULT_CHUNK_RO
     steps = [pass1, pass2, pass3, pass4, pass5]
     for step in steps[:upto]:
         df = step(df)
+    if market is not None and upto >= 2:
+        df = risk_pass(df)
     return drop_halo(df).drop("_i")

@@ -1 +1,42 @@
-"""Registered queries (filled in below)."""
+"""Feature pod passes (H-01..H-65) and the risk columns (E-08, E-09, J-09..J-12)."""
+
+from __future__ import annotations
+
+from tidemark.operators.pod import PASS1, PASS2, PASS3, PASS4, PASS5, RISK, build_pod
+from tidemark.plans.catalog import query
+from tidemark.plans.oracle_parts import ctes, pod_risk_sql_ctes
+from tidemark.plans.oracle_pod import pod_ctes
+from tidemark.plans.sqlkit import r6
+from tidemark.sources.tables import oracle_with
+
+
+def _pod_sql(cols: list[str], upto: int) -> str:
+    body = oracle_with("bars") + ",\n" + ctes(pod_ctes(upto))
+    return f"{body}\nSELECT permno, date, {', '.join(r6(c, c) for c in cols)} FROM pod_p{upto}"
+
+
+@query("h_pod_pass1", _pod_sql(PASS1, 1))
+def h_pod_pass1(t):
+    """H-01..H-24: raw transforms (returns, clips, ranges, lags, market cap)."""
+    return build_pod(t["bars"], upto=1).select("permno", "date", *PASS1)
+
+
+@query("h_pod_pass2", _pod_sql(PASS2, 2))
+def h_pod_pass2(t):
+    """H-25..H-54: rolling means/stds/extremes, EWMs, OBV, lags of SMAs."""
+    return build_pod(t["bars"], upto=2).select("permno", "date", *PASS2)
+
+
+@query("h_pod_pass3_5", _pod_sql(PASS3 + PASS4 + PASS5, 5))
+def h_pod_pass3_5(t):
+    """H-55..H-65: MACD, Bollinger, ATR, Amihud, stochastics, MACD signal and histogram."""
+    return build_pod(t["bars"], upto=5).select("permno", "date", *(PASS3 + PASS4 + PASS5))
+
+
+@query("e08_risk_columns", f"""
+{pod_risk_sql_ctes(2)}
+SELECT permno, date, {', '.join(r6(c, c) for c in RISK)} FROM rk
+""")
+def e08_risk_columns(t):
+    """C-10, E-08, E-09, J-09..J-12: market return, beta, VaR 95, idiosyncratic vol, 60-day drawdown."""
+    return build_pod(t["bars"], upto=2, market=t["raw_dsi"]).select("permno", "date", *RISK)
