@@ -31,11 +31,19 @@ def winsorise(df: DataFrame, cols: list[str], by: str = "date") -> DataFrame:
     return df.withColumns(out)
 
 
+# Fixed value: a per-group std below this fraction of |mean| is rounding noise of a
+# constant cross-section and counts as zero (z is NULL).
+DEGENERATE_STD = 1e-10
+
+
 def zscore(df: DataFrame, cols: list[str], by: list[str] | None = None, suffix: str = "_z") -> DataFrame:
     """K-02/K-03: (x - mean) / std within date (and sector when ``by`` includes it)."""
     d = Window.partitionBy(*(by or ["date"]))
-    return df.withColumns({c + suffix: F.try_divide(F.col(c) - F.avg(c).over(d), F.stddev_samp(c).over(d))
-                           for c in cols})
+    out = {}
+    for c in cols:
+        mean, std = F.avg(c).over(d), F.stddev_samp(c).over(d)
+        out[c + suffix] = F.when((std > 0) & (std > F.abs(mean) * DEGENERATE_STD), F.try_divide(F.col(c) - mean, std))
+    return df.withColumns(out)
 
 
 def log_amihud(df: DataFrame, col: str = "amihud_illiquidity", out: str = "log_amihud") -> DataFrame:

@@ -35,6 +35,10 @@ def pod_risk_sql_ctes(upto: int = 5) -> str:
     return oracle_with("bars", "raw_dsi") + ",\n" + ctes(pod_ctes(upto) + risk_ctes(f"pod_p{upto}"))
 
 
+def pod_risk_pairs(upto: int = 5) -> list[tuple[str, str]]:
+    return pod_ctes(upto) + risk_ctes(f"pod_p{upto}")
+
+
 def _ttm(c: str) -> str:
     return f"(CASE WHEN count({c}) OVER wq >= 4 THEN sum({c}) OVER wq END)"
 

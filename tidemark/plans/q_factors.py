@@ -1 +1,198 @@
-"""Registered queries (filled in below)."""
+"""Factors and cross-sectional preparation: J-01..J-35 (J-34 as a label), K-01..K-07."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidemark.operators import analysts as AN
+from tidemark.operators import fundamentals as FU
+from tidemark.operators import insiders as IN
+from tidemark.operators import prep as PR
+from tidemark.operators.factors import (
+    EVENT_FACTORS, FACTOR_NAMES, FUNDAMENTAL_FACTORS, PRICE_FACTORS, RISK_FACTORS, fundamental_factors, price_factors,
+)
+from tidemark.operators.joins import asof_join
+from tidemark.operators.pod import build_pod
+from tidemark.plans.catalog import query
+from tidemark.plans.oracle_parts import (
+    EVENT_VALUES, EVENTS, FUND_FACTOR_SQL, FUND_Q, PRICE_FACTOR_SQL, ctes, event_asof_cte, fund_asof_cte,
+    insider_panel_ctes, pod_risk_pairs,
+)
+from tidemark.plans.sqlkit import r6
+from tidemark.sources.tables import Tables, oracle_with
+
+PRICE_OUT = list(PRICE_FACTORS) + RISK_FACTORS + ["log_market_cap"]
+FUND_OUT = list(FUNDAMENTAL_FACTORS)
+# Fixed value: liquidity floor of the registered K-05 query (fixture dollar volumes are ~1e5).
+FIXTURE_LIQUIDITY_FLOOR = 100_000
+# Fixed value: the as-of day of the incremental run (K-07) and its lookback rows.
+INCREMENTAL_DAY = "1998-06-30"
+LOOKBACK_ROWS = 650
+
+
+def _r(cols):
+    return ", ".join(r6(c, c) for c in cols)
+
+
+def _z_sql(c: str, part: str) -> str:
+    m, sd = f"avg({c}) OVER (PARTITION BY {part})", f"stddev_samp({c}) OVER (PARTITION BY {part})"
+    return f"CASE WHEN {sd} > 0 AND {sd} > abs({m}) * {PR.DEGENERATE_STD!r} THEN ({c} - {m}) / {sd} END"
+
+
+def price_factor_frame(t: Tables, bars: DataFrame | None = None) -> DataFrame:
+    pod = build_pod(t["bars"] if bars is None else bars, upto=5, market=t["raw_dsi"])
+    return price_factors(pod).select("permno", "date", "close", "market_cap", *PRICE_OUT)
+
+
+def fundamental_factor_frame(panel: DataFrame, t: Tables) -> DataFrame:
+    d = FU.daily_fundamentals(panel, t["fundq"], t["ccm_link"])
+    return fundamental_factors(d).drop(*FU.FUND_VALUES, "datadate", "eff")
+
+
+def factor_panel(t: Tables) -> DataFrame:
+    """K-06: one row per (permno, date) with the 34 same-day factors."""
+    df = price_factor_frame(t)
+    df = fundamental_factor_frame(df, t)
+    ev = AN.earnings_events(FU.announcements(t["fundq"], t["ccm_link"]), t["ibes_detail"])
+    df = asof_join(df, ev.select("permno", "earnings_date", *EVENT_VALUES), "permno", "date", "earnings_date",
+                   EVENT_VALUES, max_age_days=FU.FFILL_MAX_DAYS).drop("earnings_date")
+    df = IN.trailing_on_panel(df, IN.daily_insider(t["form4"]))
+    return df.select("permno", "date", *FACTOR_NAMES)
+
+
+PF_CTE = ("pf", "SELECT permno, date, close, market_cap, "
+          + ", ".join(f"{e} AS {n}" for n, e in PRICE_FACTOR_SQL.items())
+          + ", " + ", ".join(RISK_FACTORS) + ", log_market_cap FROM rk")
+FF_CTE = ("ff", "SELECT * EXCLUDE (" + ", ".join(FU.FUND_VALUES + ["datadate", "eff"]) + "), "
+          + ", ".join(f"{e} AS {n}" for n, e in FUND_FACTOR_SQL.items()) + " FROM fa")
+ALL_TABLES = ("bars", "raw_dsi", "fundq", "ccm_link", "ibes_detail", "form4")
+PANEL_PAIRS = (pod_risk_pairs(5) + [PF_CTE] + FUND_Q + [fund_asof_cte("pf"), FF_CTE] + EVENTS
+               + [event_asof_cte("ff")] + insider_panel_ctes("ea")
+               + [("panel", "SELECT ea.*, ins_p.insider_buy_sell_ratio FROM ea JOIN ins_p ON ea.permno = ins_p.permno AND ea.date = ins_p.date")])
+PANEL_WITH = oracle_with(*ALL_TABLES) + ",\n" + ctes(PANEL_PAIRS)
+
+
+@query("j01_price_factors", f"""
+{oracle_with('bars', 'raw_dsi')},
+{ctes(pod_risk_pairs(5) + [PF_CTE])}
+SELECT permno, date, {_r(PRICE_OUT)} FROM pf
+""")
+def j01_price_factors(t):
+    """J-01..J-16, J-27..J-30: momentum, volatility, risk, liquidity, size and technical factors."""
+    return price_factor_frame(t).select("permno", "date", *PRICE_OUT)
+
+
+@query("j17_fundamental_factors", f"""
+{oracle_with('bars', 'fundq', 'ccm_link')},
+{ctes([('pb', 'SELECT permno, date, close, close * shares_outstanding AS market_cap FROM bars')] + FUND_Q + [fund_asof_cte('pb'), ('fa2', 'SELECT * FROM fa'), (FF_CTE[0], FF_CTE[1])])}
+SELECT permno, date, {_r(FUND_OUT)} FROM ff
+""")
+def j17_fundamental_factors(t):
+    """J-17..J-26: value, quality and growth factors from point-in-time fundamentals."""
+    panel = t["bars"].select("permno", "date", "close", (F.col("close") * F.col("shares_outstanding")).alias("market_cap"))
+    return fundamental_factor_frame(panel, t).select("permno", "date", *FUND_OUT)
+
+
+@query("k06_factor_panel", f"""
+{PANEL_WITH}
+SELECT permno, date, {_r(FACTOR_NAMES)} FROM panel
+""")
+def k06_factor_panel(t):
+    """K-06: the factor panel, 34 same-day factors per (permno, date) (J-34 is a label, see l03)."""
+    return factor_panel(t)
+
+
+@query("k02_factor_zscores", f"""
+{PANEL_WITH}
+SELECT permno, date, {', '.join(r6(_z_sql(c, 'date'), c + '_z') for c in FACTOR_NAMES)} FROM panel
+""")
+def k02_factor_zscores(t):
+    """K-02: every factor z-scored within date."""
+    return PR.zscore(factor_panel(t), FACTOR_NAMES).select("permno", "date", *[c + "_z" for c in FACTOR_NAMES])
+
+
+WINSOR_COLS = ["ret_12m_skip1m", "vol_20d", "amihud_illiquidity", "bid_ask_spread_proxy", "RSI_14"]
+
+
+def _winsor_sql(c):
+    lo, hi = PR.WINSOR_SKEWED if c in PR.SKEWED_FACTORS else PR.WINSOR_DEFAULT
+    lo_e = f"quantile_cont({c}, {lo}) OVER (PARTITION BY date)"
+    hi_e = f"quantile_cont({c}, {hi}) OVER (PARTITION BY date)"
+    return f"CASE WHEN {c} IS NOT NULL THEN least(greatest({c}, {lo_e}), {hi_e}) END"
+
+
+@query("k01_winsorise", f"""
+{oracle_with('bars', 'raw_dsi')},
+{ctes(pod_risk_pairs(5) + [PF_CTE])}
+SELECT permno, date, {', '.join(r6(_winsor_sql(c), c) for c in WINSOR_COLS)} FROM pf
+""")
+def k01_winsorise(t):
+    """K-01: per-date winsorisation at 1-99% (5-95% for Amihud and accruals)."""
+    return PR.winsorise(price_factor_frame(t), WINSOR_COLS).select("permno", "date", *WINSOR_COLS)
+
+
+ZS_COLS = ["ret_1m", "vol_20d", "RSI_14", "distance_52w_high"]
+
+
+@query("k03_sector_zscores", f"""
+{oracle_with('bars', 'raw_dsi', 'sector')},
+{ctes(pod_risk_pairs(5) + [PF_CTE])}
+SELECT pf.permno, pf.date, s.sector, {', '.join(r6(_z_sql(c, 'pf.date, s.sector'), c + '_sz') for c in ZS_COLS)}
+FROM pf JOIN sector s ON pf.permno = s.permno
+""")
+def k03_sector_zscores(t):
+    """K-03: z-scores within date and sector (sector neutral)."""
+    df = price_factor_frame(t).join(t["sector"], "permno")
+    return PR.zscore(df, ZS_COLS, by=["date", "sector"], suffix="_sz").select(
+        "permno", "date", "sector", *[c + "_sz" for c in ZS_COLS])
+
+
+@query("k04_log_amihud", f"""
+{oracle_with('bars', 'raw_dsi')},
+{ctes(pod_risk_pairs(5) + [PF_CTE])}
+SELECT permno, date, {r6('CASE WHEN amihud_illiquidity > 0 THEN ln(amihud_illiquidity) END', 'log_amihud')} FROM pf
+""")
+def k04_log_amihud(t):
+    """K-04: log of the Amihud illiquidity factor."""
+    return PR.log_amihud(price_factor_frame(t)).select("permno", "date", "log_amihud")
+
+
+@query("k05_liquidity_filter", f"""
+{oracle_with('bars', 'raw_dsi')},
+{ctes(pod_risk_pairs(5) + [PF_CTE])}
+SELECT permno, date, {_r(['avg_dollar_volume_20d', 'ret_1m'])} FROM pf WHERE avg_dollar_volume_20d >= {FIXTURE_LIQUIDITY_FLOOR}
+""")
+def k05_liquidity_filter(t):
+    """K-05: keep securities above a 20-day average dollar volume floor."""
+    return PR.liquidity_filter(price_factor_frame(t), FIXTURE_LIQUIDITY_FLOOR).select("permno", "date", "avg_dollar_volume_20d", "ret_1m")
+
+
+@query("k07_incremental_day", f"""
+{oracle_with('bars', 'raw_dsi')},
+{ctes(pod_risk_pairs(5) + [PF_CTE])}
+SELECT permno, date, {_r(PRICE_OUT)} FROM pf WHERE date = DATE '{INCREMENTAL_DAY}'
+""")
+def k07_incremental_day(t):
+    """K-07: one day's price factors from each security's last 650 trading rows only."""
+    day = F.lit(INCREMENTAL_DAY).cast("date")
+    w = Window.partitionBy("permno").orderBy(F.col("date").desc())
+    recent = t["bars"].filter(F.col("date") <= day).withColumn("_k", F.row_number().over(w))
+    recent = recent.filter(F.col("_k") <= LOOKBACK_ROWS).drop("_k")
+    # securities without a bar on the day have no factor row for it
+    on_day = t["bars"].filter(F.col("date") == day).select("permno")
+    recent = recent.join(on_day, "permno", "left_semi")
+    return price_factor_frame(t, recent).filter(F.col("date") == day).select("permno", "date", *PRICE_OUT)
+
+
+@query("e15_rank_top100", f"""
+{oracle_with('bars', 'raw_dsi')},
+{ctes(pod_risk_pairs(5) + [PF_CTE])},
+rnk AS (SELECT permno, date, ret_12m_skip1m, row_number() OVER (PARTITION BY date ORDER BY ret_12m_skip1m DESC, permno) AS rank
+  FROM pf WHERE ret_12m_skip1m IS NOT NULL)
+SELECT permno, date, {r6('ret_12m_skip1m', 'ret_12m_skip1m')}, rank FROM rnk WHERE rank <= {PR.TOP_N}
+""")
+def e15_rank_top100(t):
+    """E-15/L-10: rank the universe per date by 12-1 momentum, keep the top 100."""
+    df = price_factor_frame(t).select("permno", "date", "ret_12m_skip1m")
+    return PR.rank_top(df, "ret_12m_skip1m").withColumn("rank", F.col("rank").cast("bigint"))
