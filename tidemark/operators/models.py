@@ -1,0 +1,53 @@
+"""MLlib models: feature matrix, factor model, event-impact model, importances (L-05, L-07..L-09).
+
+Training is distributed by MLlib (tree learners aggregate split statistics per
+partition); features are assembled in the JVM with VectorAssembler, no Python UDFs.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Model settings.
+SEED = 42
+MIN_IMPORTANCE = 0.01
+
+
+def feature_matrix(df: DataFrame, features: list[str], label: str | None = None) -> DataFrame:
+    """L-05: assemble (already normalised) factor columns; NULL features become 0 (the mean of a z-score)."""
+    filled = df.fillna(0.0, subset=features)
+    if label:
+        filled = filled.filter(F.col(label).isNotNull())
+    return VectorAssembler(inputCols=features, outputCol="features").transform(filled)
+
+
+def fit_factor_model(train: DataFrame, label: str, trees: int = 20, depth: int = 5):
+    """L-07: random forest predicting forward returns from factor features."""
+    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=SEED)
+    return Pipeline(stages=[rf]).fit(train)
+
+
+def fit_event_model(train: DataFrame, label: str, iters: int = 20, depth: int = 3):
+    """L-08: gradient-boosted trees predicting post-event drift."""
+    gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=iters, maxDepth=depth, seed=SEED)
+    return Pipeline(stages=[gbt]).fit(train)
+
+
+def predictions(model, test: DataFrame, keep: list[str]) -> DataFrame:
+    return model.transform(test).select(*keep, "prediction")
+
+
+def importances(model, features: list[str], spark, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
+    """L-09: feature importances of the fitted tree model, those below 1% dropped."""
+    imp = model.stages[-1].featureImportances.toArray().tolist()
+    rows = [(f, float(v)) for f, v in zip(features, imp)]
+    return spark.createDataFrame(rows, "feature string, importance double").filter(F.col("importance") >= min_importance)
+
+
+def as_array(df: DataFrame, col: str = "features") -> DataFrame:
+    return df.withColumn(col, vector_to_array(col))
