@@ -123,3 +123,151 @@ def round_doubles(df, digits: int = 6):
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+# ---------------------------------------------------------------------------
+# Rolling statistics in O(1) per row.
+#
+# Spark evaluates a sliding ROWS frame by re-aggregating the whole frame for every
+# row (O(N) per row). Sums, counts, means, variances and regression slopes are
+# instead differences of running sums (``running`` frames are incremental) looked up
+# with ``lag``; maxima and minima combine lagged block maxima. Running sums restart
+# at every window partition, which the split series keeps to a few thousand rows.
+# ---------------------------------------------------------------------------
+
+
+class Prefix:
+    """Running sums of a column (and of its square / product with a partner)."""
+
+    def __init__(self, w: WindowSpec):
+        self.w = w
+        self.run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        self.cols: dict[str, Column] = {}
+        self.centers: dict[str, Column] = {}
+
+    def _add(self, name: str, expr: Column) -> str:
+        self.cols.setdefault(name, F.sum(expr).over(self.run))
+        return name
+
+    def count(self, x: str) -> str:
+        return self._add(f"_pc_{x}", F.col(x).isNotNull().cast("long"))
+
+    def _centered(self, x: str) -> Column:
+        """x minus the partition's first non-null x: sums of squares stay small, so the
+        differences of running sums keep their precision (same variance)."""
+        self.centers.setdefault(f"_pk_{x}", F.first(F.col(x).cast("double"), ignorenulls=True).over(self.run))
+        return F.col(x).cast("double") - F.col(f"_pk_{x}")
+
+    def s1(self, x: str) -> str:
+        return self._add(f"_p1_{x}", F.coalesce(self._centered(x), F.lit(0.0)))
+
+    def s2(self, x: str) -> str:
+        d = self._centered(x)
+        return self._add(f"_p2_{x}", F.coalesce(d * d, F.lit(0.0)))
+
+    def pair(self, y: str, x: str) -> tuple[str, str, str, str, str]:
+        both = F.col(y).isNotNull() & F.col(x).isNotNull()
+        k = f"{y}_{x}"
+        return (self._add(f"_qn_{k}", both.cast("long")),
+                self._add(f"_qx_{k}", F.when(both, F.col(x)).otherwise(F.lit(0.0))),
+                self._add(f"_qy_{k}", F.when(both, F.col(y)).otherwise(F.lit(0.0))),
+                self._add(f"_qxx_{k}", F.when(both, F.col(x) * F.col(x)).otherwise(F.lit(0.0))),
+                self._add(f"_qxy_{k}", F.when(both, F.col(x) * F.col(y)).otherwise(F.lit(0.0))))
+
+    def apply(self, df):
+        if self.centers:
+            df = df.withColumns(self.centers)
+        out = df.withColumns(self.cols)
+        self.cols, self.centers = {}, {}
+        return out
+
+
+def _window_diff(w: WindowSpec, name: str, n: int) -> Column:
+    return F.col(name) - F.coalesce(F.lag(F.col(name), n).over(w), F.lit(0))
+
+
+def roll_count(w: WindowSpec, x: str, n: int) -> Column:
+    return _window_diff(w, f"_pc_{x}", n)
+
+
+def roll_mean(w: WindowSpec, x: str, n: int, min_periods: int | None = None) -> Column:
+    c = roll_count(w, x, n)
+    return F.when(c >= (n if min_periods is None else min_periods),
+                  F.col(f"_pk_{x}") + _window_diff(w, f"_p1_{x}", n) / c)
+
+
+def roll_sum(w: WindowSpec, x: str, n: int, min_periods: int | None = None) -> Column:
+    c = roll_count(w, x, n)
+    return F.when(c >= (n if min_periods is None else min_periods),
+                  _window_diff(w, f"_p1_{x}", n) + F.col(f"_pk_{x}") * c)
+
+
+def roll_var(w: WindowSpec, x: str, n: int, min_periods: int | None = None) -> Column:
+    c = roll_count(w, x, n)
+    s1, s2 = _window_diff(w, f"_p1_{x}", n), _window_diff(w, f"_p2_{x}", n)
+    var = F.greatest((s2 - s1 * s1 / c) / (c - 1), F.lit(0.0))
+    need = n if min_periods is None else min_periods
+    return F.when((c >= need) & (c >= 2), var)
+
+
+def roll_std(w: WindowSpec, x: str, n: int, min_periods: int | None = None) -> Column:
+    return F.sqrt(roll_var(w, x, n, min_periods))
+
+
+def roll_slope(w: WindowSpec, y: str, x: str, n: int) -> tuple[Column, Column]:
+    """(pair count, OLS slope of y on x) over the last ``n`` rows, pairs with both non-null."""
+    k = f"{y}_{x}"
+    cnt = _window_diff(w, f"_qn_{k}", n)
+    sx, sy = _window_diff(w, f"_qx_{k}", n), _window_diff(w, f"_qy_{k}", n)
+    sxx, sxy = _window_diff(w, f"_qxx_{k}", n), _window_diff(w, f"_qxy_{k}", n)
+    return cnt, F.try_divide(sxy - sx * sy / cnt, sxx - sx * sx / cnt)
+
+
+BLOCK = 16
+
+
+def roll_extreme(w: WindowSpec, x: str, n: int, fn: str = "max") -> Column:
+    """Max/min over the last ``n`` rows from block extremes: an ``BLOCK``-row frame at
+    lags 0, BLOCK, 2*BLOCK, ... plus one remainder frame (about n/BLOCK + 2*BLOCK
+    updates per row instead of n). NULLs are skipped as in the plain aggregate."""
+    agg = F.max if fn == "max" else F.min
+    comb = F.greatest if fn == "max" else F.least
+    if n <= 2 * BLOCK:
+        return agg(x).over(w.rowsBetween(-(n - 1), Window.currentRow))
+    full_blocks, rem = divmod(n, BLOCK)
+    blk = agg(x).over(w.rowsBetween(-(BLOCK - 1), Window.currentRow))
+    parts = [blk] + [F.lag(blk, k * BLOCK).over(w) for k in range(1, full_blocks)]
+    if rem:
+        tail = agg(x).over(w.rowsBetween(-(rem - 1), Window.currentRow))
+        parts.append(F.lag(tail, full_blocks * BLOCK).over(w))
+    return comb(*parts)
+
+
+def roll_quantile(w: WindowSpec, x: str, n: int, p: float, blocks: int = 4, count: Column | None = None) -> Column:
+    """Linear-interpolated quantile of the last ``n`` rows, only when all ``n`` are non-null.
+
+    Only the k = floor(p*(n-1)) + 2 smallest values matter, and each of them is among
+    the k smallest of its block, so every row sorts one block frame (n/blocks rows),
+    keeps its k smallest, and merges the lagged lists of the other blocks
+    (blocks*k values) instead of sorting all n.
+    """
+    pos = p * (n - 1)
+    lo = int(math.floor(pos))
+    frac = pos - lo
+    k = min(lo + 2, n)
+    size = -(-n // blocks)
+    cnt = count if count is not None else F.count(F.col(x)).over(w.rowsBetween(-(n - 1), Window.currentRow))
+
+    def smallest(rows: int) -> Column:
+        frame = w.rowsBetween(-(rows - 1), Window.currentRow)
+        return F.slice(F.array_sort(F.collect_list(F.col(x)).over(frame)), 1, k)
+
+    full_blocks, rem = divmod(n, size)
+    blk = smallest(size)
+    parts = [blk] + [F.lag(blk, i * size).over(w) for i in range(1, full_blocks)]
+    if rem:
+        parts.append(F.lag(smallest(rem), full_blocks * size).over(w))
+    merged = F.array_sort(F.concat(*parts))
+    a = F.element_at(merged, lo + 1)
+    b = F.element_at(merged, min(lo + 2, n))
+    return F.when(cnt == n, a + F.lit(frac) * (b - a))

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.semantics import (
-    clip_lower, clip_upper, ewm_mean, full, ratio, safe_ln,
+    Prefix, clip_lower, clip_upper, ewm_mean, full, ratio, roll_count, roll_extreme, roll_mean, roll_quantile,
+    roll_slope, roll_std, roll_var, safe_ln,
 )
 from tidemark.operators.series import (
     DEFAULT_CHUNK_ROWS, POD_HALO_ROWS, chunk_window, drop_halo, series_running_sum,
@@ -76,33 +77,43 @@ def pass1(df: DataFrame) -> DataFrame:
 def pass2(df: DataFrame) -> DataFrame:
     w = chunk_window(KEY)
     p = F.col("_p")
+    pre = Prefix(w)
+    for x in ("close", "r", "r_down", "r_up"):
+        pre.count(x), pre.s1(x), pre.s2(x)
+    for x in ("dv", "volume", "high", "low"):
+        pre.count(x), pre.s1(x)
+    df = pre.apply(df)
+
+    def extreme(x: str, n: int, fn: str):
+        return F.when(roll_count(w, x, n) >= n, roll_extreme(w, x, n, fn))
+
     cols = {
-        "SMA_20": full(F.avg, "close", w, 20),
-        "SMA_50": full(F.avg, "close", w, 50),
-        "SMA_200": full(F.avg, "close", w, 200),
+        "SMA_20": roll_mean(w, "close", 20),
+        "SMA_50": roll_mean(w, "close", 50),
+        "SMA_200": roll_mean(w, "close", 200),
         "EMA_9": ewm_mean("close", 9, w, p),
         "EMA_12": ewm_mean("close", 12, w, p),
         "EMA_20": ewm_mean("close", 20, w, p),
         "EMA_26": ewm_mean("close", 26, w, p),
-        "std_r_20": full(F.stddev_samp, "r", w, 20),
-        "std_r_60": full(F.stddev_samp, "r", w, 60),
-        "std_r_120": full(F.stddev_samp, "r", w, 120),
-        "std_r_252": full(F.stddev_samp, "r", w, 252),
-        "std_P_20": full(F.stddev_samp, "close", w, 20),
-        "std_r_down_20": full(F.stddev_samp, "r_down", w, 20),
-        "std_r_up_20": full(F.stddev_samp, "r_up", w, 20),
+        "std_r_20": roll_std(w, "r", 20),
+        "std_r_60": roll_std(w, "r", 60),
+        "std_r_120": roll_std(w, "r", 120),
+        "std_r_252": roll_std(w, "r", 252),
+        "std_P_20": roll_std(w, "close", 20),
+        "std_r_down_20": roll_std(w, "r_down", 20),
+        "std_r_up_20": roll_std(w, "r_up", 20),
         "high_14": full(F.max, "high", w, 14),
         "low_14": full(F.min, "low", w, 14),
-        "high_60": full(F.max, "high", w, 60),
-        "high_252": full(F.max, "high", w, 252),
-        "low_252": full(F.min, "low", w, 252),
+        "high_60": extreme("high", 60, "max"),
+        "high_252": extreme("high", 252, "max"),
+        "low_252": extreme("low", 252, "min"),
         "true_range": F.greatest("hl", "hc1", "lc1"),
-        "dv_20": full(F.avg, "dv", w, 20),
+        "dv_20": roll_mean(w, "dv", 20),
         "amihud_daily": ratio("abs_r", "dv"),
         "avg_gain_14": ewm_mean("rsi_gain", 14, w, p),
         "avg_loss_14": ewm_mean("rsi_loss", 14, w, p),
         "dP_lag1": F.lag("dP", 1).over(w),
-        "vol_mean_20": full(F.avg, "volume", w, 20),
+        "vol_mean_20": roll_mean(w, "volume", 20),
     }
     df = df.withColumns(cols)
     df = df.withColumns({
@@ -110,21 +121,28 @@ def pass2(df: DataFrame) -> DataFrame:
         "SMA_50_lag5": F.lag("SMA_50", 5).over(w),
         "SMA_200_lag5": F.lag("SMA_200", 5).over(w),
     })
-    return df
+    return _drop_prefix(df)
+
+
+def _drop_prefix(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(("_pc_", "_p1_", "_p2_", "_pk_", "_q"))])
 
 
 def pass3(df: DataFrame) -> DataFrame:
     w = chunk_window(KEY)
+    pre = Prefix(w)
+    pre.count("amihud_daily"), pre.s1("amihud_daily")
+    df = pre.apply(df)
     df = df.withColumns({
         "MACD": F.col("EMA_12") - F.col("EMA_26"),
         "BB_upper": F.col("SMA_20") + 2 * F.col("std_P_20"),
         "BB_lower": F.col("SMA_20") - 2 * F.col("std_P_20"),
         "ATR_14": full(F.avg, "true_range", w, 14),
-        "amihud_20": full(F.avg, "amihud_daily", w, 20),
+        "amihud_20": roll_mean(w, "amihud_daily", 20),
         "stoch_k": 100 * ratio(F.col("close") - F.col("low_14"), F.col("high_14") - F.col("low_14")),
         "log_market_cap": safe_ln("market_cap"),
     })
-    return df.withColumn("BB_width", ratio(F.col("BB_upper") - F.col("BB_lower"), "SMA_20"))
+    return _drop_prefix(df.withColumn("BB_width", ratio(F.col("BB_upper") - F.col("BB_lower"), "SMA_20")))
 
 
 def pass4(df: DataFrame) -> DataFrame:
@@ -143,19 +161,24 @@ RISK = ["r_market", "beta_1y", "VaR_95", "idiosyncratic_vol", "max_drawdown_60d"
 
 
 def risk_pass(df: DataFrame) -> DataFrame:
-    """E-08, E-09, J-09..J-12 over 252/60-row frames (needs pass 2 and ``r_market``)."""
+    """E-08, E-09, J-09..J-12 over 252/60-row windows (needs pass 2 and ``r_market``)."""
     w = chunk_window(KEY)
-    f252 = w.rowsBetween(-251, Window.currentRow)
-    pairs = F.count(F.when(F.col("r").isNotNull() & F.col("r_market").isNotNull(), F.lit(1))).over(f252)
-    beta = F.regr_slope("r", "r_market").over(f252)
-    resid_var = F.var_samp("r").over(f252) - beta * beta * F.var_samp("r_market").over(f252)
+    df = df.withColumn("_dd", ratio("close", "high_60") - 1)
+    pre = Prefix(w)
+    pre.pair("r", "r_market")
+    for x in ("r", "r_market"):
+        pre.count(x), pre.s1(x), pre.s2(x)
+    pre.count("_dd")
+    df = pre.apply(df)
+    pairs, beta = roll_slope(w, "r", "r_market", 252)
+    resid_var = roll_var(w, "r", 252, 2) - beta * beta * roll_var(w, "r_market", 252, 2)
     df = df.withColumns({
         "beta_1y": F.when(pairs >= 252, beta),
-        "VaR_95": full(lambda x: F.percentile(x, 0.05), "r", w, 252),
+        "VaR_95": roll_quantile(w, "r", 252, 0.05, count=roll_count(w, "r", 252)),
         "idiosyncratic_vol": F.when(pairs >= 252, F.sqrt(F.greatest(resid_var, F.lit(0.0)))),
-        "_dd": ratio("close", "high_60") - 1,
+        "max_drawdown_60d": F.when(roll_count(w, "_dd", 60) >= 60, roll_extreme(w, "_dd", 60, "min")),
     })
-    return df.withColumn("max_drawdown_60d", full(F.min, "_dd", w, 60)).drop("_dd")
+    return _drop_prefix(df.drop("_dd"))
 
 
 def with_market(bars: DataFrame, market: DataFrame) -> DataFrame:
@@ -168,19 +191,22 @@ def build_pod(bars: DataFrame, upto: int = 5, chunk_rows: int = DEFAULT_CHUNK_RO
               halo_rows: int = POD_HALO_ROWS, materialize: bool = True, market: DataFrame | None = None) -> DataFrame:
     """Bars plus pod columns of passes 1..``upto``, one row per (permno, date).
 
-    ``materialize`` checkpoints the split series to the shared checkpoint folder:
-    the pod's chunk-total branch (OBV) and the window passes then read it once, and
-    a lost executor recomputes from the checkpoint, not from the raw scan.
+    ``materialize`` writes the split series as a Parquet table under the shared
+    checkpoint folder and reads it back: the pod's chunk-total branch (OBV) and the
+    window passes scan it instead of recomputing the split, a lost executor restarts
+    from the table, and column pruning applies to the read.
     """
     base = bars.select(*BAR_COLUMNS)
     if market is not None:
         base = with_market(base, market)
     df = split_bars(base, chunk_rows, halo_rows)
     if materialize:
-        from tidemark.session import ensure_checkpoint_dir
+        from tidemark.session import scratch_path
 
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        spark = df.sparkSession
+        path = scratch_path(spark, "pod-split")
+        df.write.parquet(path)
+        df = spark.read.parquet(path)
     steps = [pass1, pass2, pass3, pass4, pass5]
     for step in steps[:upto]:
         df = step(df)
