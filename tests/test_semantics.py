@@ -103,3 +103,11 @@ def test_ewm_matches_pandas_adjusted(spark):
     want = pd.Series(xs, dtype="float64").ewm(span=14, adjust=True, ignore_na=False).mean().tolist()
     assert got[0] is None
     assert max(abs(a - b) for a, b in zip(got[1:], want[1:])) < 1e-9
+
+
+def test_factor_catalogue_lineage(spark):
+    from tidemark.operators.pod import POD_COLUMNS
+    from tidemark.sources import metadata as MD
+
+    cat = MD.factor_catalogue(spark)
+    assert MD.lineage_gaps(cat, POD_COLUMNS + ["close", "high", "low"]).count() == 0

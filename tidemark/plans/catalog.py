@@ -39,7 +39,7 @@ def query(name: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # import for registration side effects
     from tidemark.plans import (  # noqa: F401
-        q_sources, q_clean, q_pod, q_fundamentals, q_factors, q_events, q_models, q_streaming,
+        q_sources, q_clean, q_pod, q_fundamentals, q_factors, q_events, q_models, q_streaming, q_lake,
     )
     return REGISTRY
 
