@@ -69,6 +69,14 @@ def quarterly_columns(fundq: DataFrame) -> DataFrame:
     )
 
 
+def linked_quarters(fundq: DataFrame, link: DataFrame) -> DataFrame:
+    """Quarterly columns per security, one row per (permno, eff): the latest datadate wins
+    (a partial aggregate, so restatement bursts combine map-side)."""
+    q = link_to_permno(quarterly_columns(fundq), link, "datadate")
+    best = F.max_by(F.struct(*[F.col(c) for c in FUND_VALUES + ["datadate"]]), F.col("datadate"))
+    return q.groupBy("permno", "eff").agg(best.alias("_q")).select("permno", "eff", "_q.*")
+
+
 def daily_fundamentals(panel: DataFrame, fundq: DataFrame, link: DataFrame,
                        max_age_days: int = FFILL_MAX_DAYS) -> DataFrame:
     """C-08/C-09: newest quarter whose eff <= date, ties to the latest datadate, NULL past 390 days."""

@@ -64,3 +64,52 @@ def forward_window_sum(panel: DataFrame, by: str, value: str, start: int, end: i
     n = end - start + 1
     return panel.withColumn(out, F.when(F.count(F.lit(1)).over(w) == n,
                                         F.sum(F.coalesce(F.col(value), F.lit(0.0))).over(w)))
+
+
+def attach_point_in_time(panel: DataFrame, sources: list[tuple[str, DataFrame, str, list[str], int | None]],
+                         flows: tuple[DataFrame, list[str], int] | None = None) -> DataFrame:
+    """Several as-of carries and trailing calendar sums in ONE window pass.
+
+    ``sources``: (name, facts, fact_date, value_cols, max_age_days); each facts frame has
+    ``permno`` and at most one row per (permno, fact_date) (dedupe first). ``flows``:
+    (daily frame with permno/date, value columns, days) summed over the trailing days.
+    Panel rows, facts and flows are unioned and ordered by ``day * 4 + kind`` (facts
+    before the panel row of the same day, inclusive as-of); carries use a running
+    frame, flows a RANGE frame on the same key, so one shuffle and one sort serve all.
+    """
+    def day(c):
+        return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("long")
+
+    panel_kind = 3
+    p = panel.select("*", (day("date") * 4 + panel_kind).alias("_key"), F.lit(True).alias("_panel"))
+    parts = [p]
+    for i, (name, facts, fdate, vals, _) in enumerate(sources):
+        s = F.struct(F.col(fdate).alias("_eff"), *[F.col(v).alias(v) for v in vals])
+        parts.append(facts.select("permno", (day(fdate) * 4 + i).alias("_key"), s.alias(f"_src_{name}")))
+    if flows is not None:
+        daily, cols, _ = flows
+        parts.append(daily.select("permno", (day("date") * 4 + 2).alias("_key"), *cols))
+    u = parts[0]
+    for part in parts[1:]:
+        u = u.unionByName(part, allowMissingColumns=True)
+    w = Window.partitionBy("permno").orderBy("_key")
+    carried = {}
+    for name, _, _, _, _ in sources:
+        carried[f"_m_{name}"] = F.last(f"_src_{name}", ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if flows is not None:
+        _, cols, days = flows
+        frame = w.rangeBetween(-(4 * (days - 1) + panel_kind), 0)
+        for c in cols:
+            carried[f"_f_{c}"] = F.coalesce(F.sum(c).over(frame), F.lit(0.0))
+    u = u.withColumns(carried).filter(F.col("_panel"))
+    out = [F.col(c) for c in panel.columns]
+    for name, _, fdate, vals, max_age in sources:
+        m = F.col(f"_m_{name}")
+        fresh = m.isNotNull()
+        if max_age is not None:
+            fresh = fresh & (F.datediff(F.col("date"), m["_eff"]) <= max_age)
+        out += [F.when(fresh, m[v]).alias(v) for v in vals] + [F.when(fresh, m["_eff"]).alias(fdate)]
+    if flows is not None:
+        out += [F.col(f"_f_{c}").alias(c) for c in flows[1]]
+    return u.select(*out)

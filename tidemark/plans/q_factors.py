@@ -12,7 +12,7 @@ from tidemark.operators import prep as PR
 from tidemark.operators.factors import (
     EVENT_FACTORS, FACTOR_NAMES, FUNDAMENTAL_FACTORS, PRICE_FACTORS, RISK_FACTORS, fundamental_factors, price_factors,
 )
-from tidemark.operators.joins import asof_join
+from tidemark.operators.joins import attach_point_in_time
 from tidemark.operators.pod import build_pod
 from tidemark.plans.catalog import query
 from tidemark.plans.oracle_parts import (
@@ -51,13 +51,24 @@ def fundamental_factor_frame(panel: DataFrame, t: Tables) -> DataFrame:
 
 
 def factor_panel(t: Tables) -> DataFrame:
-    """K-06: one row per (permno, date) with the 34 same-day factors."""
+    """K-06: one row per (permno, date) with the 34 same-day factors.
+
+    Fundamentals (as of eff, newest datadate on ties, 390 days), analyst events (as of
+    the announcement, 390 days) and trailing 90-day insider flows are attached in one
+    window pass over the union of panel rows and side inputs.
+    """
     df = price_factor_frame(t)
-    df = fundamental_factor_frame(df, t)
+    q = FU.linked_quarters(t["fundq"], t["ccm_link"])
     ev = AN.earnings_events(FU.announcements(t["fundq"], t["ccm_link"]), t["ibes_detail"])
-    df = asof_join(df, ev.select("permno", "earnings_date", *EVENT_VALUES), "permno", "date", "earnings_date",
-                   EVENT_VALUES, max_age_days=FU.FFILL_MAX_DAYS).drop("earnings_date")
-    df = IN.trailing_on_panel(df, IN.daily_insider(t["form4"]))
+    df = attach_point_in_time(
+        df,
+        [("fund", q, "eff", FU.FUND_VALUES, FU.FFILL_MAX_DAYS),
+         ("event", ev.select("permno", "earnings_date", *EVENT_VALUES), "earnings_date", EVENT_VALUES,
+          FU.FFILL_MAX_DAYS)],
+        flows=(IN.daily_insider(t["form4"]), ["bought", "sold"], IN.TRAILING_DAYS),
+    )
+    df = fundamental_factors(df).withColumn(
+        "insider_buy_sell_ratio", F.when(F.col("sold") > 0, F.try_divide(F.col("bought"), F.col("sold"))))
     return df.select("permno", "date", *FACTOR_NAMES)
 
 
