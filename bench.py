@@ -33,7 +33,8 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "1"))
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else HEADLINE
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="tidemark-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2))))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts, app_name="tidemark-bench")
     load_all()
 
     def run(name: str) -> float:
