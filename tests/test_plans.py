@@ -41,3 +41,12 @@ def test_date_range_validation():
     with pytest.raises(ValueError):
         X.DateRange.of(None, "2020-01-01")
     assert X.DateRange.of("2020-01-01", "2020-01-31").end.day == 31
+
+
+def test_required_and_nonempty(spark, tables_small):
+    import pytest
+
+    with pytest.raises(ValueError):
+        lake.require_tables({"raw_dsf": 1}, ["raw_dsf", "raw_dsi"])
+    assert lake.is_nonempty(tables_small["bars"])
+    assert not lake.is_nonempty(tables_small["bars"].filter("permno < 0"))

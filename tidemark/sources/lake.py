@@ -89,3 +89,15 @@ def annotate(df: DataFrame, meta: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(c, metadata=dict(meta)) for c in df.columns])
 
 
+
+
+def is_nonempty(df: DataFrame) -> bool:
+    """A-17: cheap emptiness check (reads at most one row)."""
+    return not df.isEmpty()
+
+
+def require_tables(tables: dict, names: list[str]) -> None:
+    """A-16: raise on a missing input table."""
+    missing = [n for n in names if n not in tables]
+    if missing:
+        raise ValueError(f"Missing required table(s): {', '.join(missing)}")
