@@ -139,11 +139,14 @@ def round_doubles(df, digits: int = 6):
 class Prefix:
     """Running sums of a column (and of its square / product with a partner)."""
 
-    def __init__(self, w: WindowSpec):
+    def __init__(self, w: WindowSpec, centers: dict[str, str] | None = None):
+        """``centers`` maps a column to a per-partition constant column used as its centre
+        (sums of squares of large values stay small); other columns are not centred."""
         self.w = w
         self.run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         self.cols: dict[str, Column] = {}
         self.centers: dict[str, Column] = {}
+        self.center_of = dict(centers or {})
 
     def _add(self, name: str, expr: Column) -> str:
         self.cols.setdefault(name, F.sum(expr).over(self.run))
@@ -153,9 +156,10 @@ class Prefix:
         return self._add(f"_pc_{x}", F.col(x).isNotNull().cast("long"))
 
     def _centered(self, x: str) -> Column:
-        """x minus the partition's first non-null x: sums of squares stay small, so the
-        differences of running sums keep their precision (same variance)."""
-        self.centers.setdefault(f"_pk_{x}", F.first(F.col(x).cast("double"), ignorenulls=True).over(self.run))
+        """x minus its centre K (a constant per partition, else 0): same variance, and the
+        differences of running sums keep their precision."""
+        k = F.col(self.center_of[x]).cast("double") if x in self.center_of else F.lit(0.0)
+        self.centers.setdefault(f"_pk_{x}", k)
         return F.col(x).cast("double") - F.col(f"_pk_{x}")
 
     def s1(self, x: str) -> str:

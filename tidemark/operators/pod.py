@@ -38,7 +38,7 @@ POD_COLUMNS = PASS1 + PASS2 + PASS3 + PASS4 + PASS5
 
 
 def split_bars(bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, halo_rows: int = POD_HALO_ROWS) -> DataFrame:
-    indexed = with_series_index(bars, KEY, [F.col("date")])
+    indexed = with_series_index(bars, KEY, [F.col("date")], first_of=("close",))
     return split_series(indexed, KEY, chunk_rows, halo_rows)
 
 
@@ -77,7 +77,7 @@ def pass1(df: DataFrame) -> DataFrame:
 def pass2(df: DataFrame) -> DataFrame:
     w = chunk_window(KEY)
     p = F.col("_p")
-    pre = Prefix(w)
+    pre = Prefix(w, centers={"close": "_first_close"})
     for x in ("close", "r", "r_down", "r_up"):
         pre.count(x), pre.s1(x), pre.s2(x)
     for x in ("dv", "volume", "high", "low"):
@@ -212,4 +212,4 @@ def build_pod(bars: DataFrame, upto: int = 5, chunk_rows: int = DEFAULT_CHUNK_RO
         df = step(df)
     if market is not None and upto >= 2:
         df = risk_pass(df)
-    return drop_halo(df).drop("_i")
+    return drop_halo(df).drop("_i", "_first_close")

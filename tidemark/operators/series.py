@@ -19,18 +19,25 @@ DEFAULT_CHUNK_ROWS = 2048
 POD_HALO_ROWS = 650
 
 
-def with_series_index(df: DataFrame, key: str, order: list[Column], date_col: str = "date") -> DataFrame:
+def with_series_index(df: DataFrame, key: str, order: list[Column], date_col: str = "date",
+                      first_of: tuple[str, ...] = ()) -> DataFrame:
     """Add ``_i``: 0-based position of each row in its key's series, in ``order``.
 
     Computed per (key, year) group plus the prefix of earlier years' counts (a
-    small aggregate), so no window ever spans a whole series.
+    small aggregate), so no window ever spans a whole series. ``first_of`` columns
+    also get ``_first_<c>``: the series' first value (by ``date_col``), a per-key
+    constant carried by the same small table.
     """
     # One hash partitioning on (key, year) feeds both the counts and the row numbers,
     # so the exchange is computed once and reused by both branches.
     dfb = df.withColumn("_y", F.year(F.col(date_col))).repartition(key, "_y")
-    counts = dfb.groupBy(key, "_y").agg(F.count(F.lit(1)).alias("_n"))
+    counts = dfb.groupBy(key, "_y").agg(F.count(F.lit(1)).alias("_n"),
+                                        *[F.min_by(c, date_col).alias(f"_y_{c}") for c in first_of])
     prior = Window.partitionBy(key).orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, "_y", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"))
+    whole = Window.partitionBy(key).orderBy("_y").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = counts.select(key, "_y", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"),
+                            *[F.first(f"_y_{c}", ignorenulls=True).over(whole).alias(f"_first_{c}")
+                              for c in first_of])
     within = Window.partitionBy(key, "_y").orderBy(*order)
     return (
         dfb.join(offsets, [key, "_y"])
