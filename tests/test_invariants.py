@@ -65,3 +65,16 @@ def test_no_look_ahead(tables_small):
     worst = j.select(*[F.max(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}"))).alias(c) for c in cols]).collect()[0]
     for c in cols:
         assert worst[c] is None or worst[c] < 1e-9, c
+
+
+def test_bars_builder_equals_recipe(spark, duck_small):
+    from tidemark.functions.semantics import round_doubles
+    from tidemark.plans.compare import compare
+    from tidemark.plans.sqlkit import r6
+    from tidemark.sources.tables import Tables, oracle_with
+
+    from conftest import SF_SMALL
+
+    sql = (oracle_with("bars") + " SELECT permno, date, volume, shares_outstanding, "
+           + ", ".join(r6(c, c) for c in ["open", "high", "low", "close"]) + " FROM bars")
+    assert compare(round_doubles(Tables(spark, SF_SMALL)["bars"]), duck_small, sql)["match"]
