@@ -50,3 +50,8 @@ def test_required_and_nonempty(spark, tables_small):
         lake.require_tables({"raw_dsf": 1}, ["raw_dsf", "raw_dsi"])
     assert lake.is_nonempty(tables_small["bars"])
     assert not lake.is_nonempty(tables_small["bars"].filter("permno < 0"))
+
+
+def test_static_and_dated_paths():
+    assert lake.table_path("/lake", "raw_dsenames", "2020-01-01", "2020-12-31") == "/lake/raw_dsenames"
+    assert lake.table_path("/lake", "raw_dsf", "2020-01-01", "2020-12-31") == "/lake/raw_dsf_2020-01-01_2020-12-31"

@@ -101,3 +101,14 @@ def require_tables(tables: dict, names: list[str]) -> None:
     missing = [n for n in names if n not in tables]
     if missing:
         raise ValueError(f"Missing required table(s): {', '.join(missing)}")
+
+
+# Tables keyed without a date range (A-15).
+STATIC_TABLES = ("raw_dsenames", "raw_dsfhdr")
+
+
+def table_path(root: str, name: str, start=None, end=None) -> str:
+    """A-15: static tables live under one fixed name; dated extracts under their range."""
+    if name in STATIC_TABLES or start is None:
+        return f"{root}/{name}"
+    return f"{root}/{name}_{start}_{end}"
