@@ -27,10 +27,13 @@ def test_partitioned_scan_prunes(spark, tables_small):
     assert "PartitionFilters: [isnotnull(year" in plan and "(month" in plan
 
 
-def test_no_cartesian_products(spark):
-    for name in ("k06_factor_panel", "l04_historical_drift", "l06_walk_forward_folds", "l12_exit_candidates"):
+def test_no_cartesian_products_or_python(spark):
+    from tidemark.plans.catalog import load_all
+
+    for name in sorted(load_all()):
         plan = _plan(spark_query(name, spark, SF_SMALL))
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            assert node not in plan, (name, node)
 
 
 def test_date_range_validation():
