@@ -30,7 +30,10 @@ def test_partitioned_scan_prunes(spark, tables_small):
 def test_no_cartesian_products_or_python(spark):
     from tidemark.plans.catalog import load_all
 
-    for name in sorted(load_all()):
+    # streaming and model builders run their streams / fits while building; they are
+    # exercised by the oracle and rows-only tests
+    names = sorted(n for n, q in load_all().items() if q.sql and not n.startswith("m0"))
+    for name in names:
         plan = _plan(spark_query(name, spark, SF_SMALL))
         for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert node not in plan, (name, node)
