@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, url_lm
+from tidemark.llm import hamming_dedup, mixing, nra_topk, toxicity_mil, url_lm
 from tidemark.llm.common import table
 
 
@@ -14,12 +14,25 @@ def op1_url_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lm.judge_urls(table(spark, sf_dir, "pages"), url_lm.CONTRACT_RULES)
 
 
+def op2_nra_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op3_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_mil.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_language_model, op10_mix_sources)
+    f.__name__: f for f in (op1_url_language_model, op2_nra_top_k, op3_toxicity_mil, op8_hamming_near_dedup,
+                          op10_mix_sources)
 }
-SQL: dict[str, str] = {"op10_mix_sources": mixing.ORACLE_SQL}
+SQL: dict[str, str] = {"op2_nra_top_k": nra_topk.ORACLE_SQL, "op10_mix_sources": mixing.ORACLE_SQL}
