@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import hamming_dedup, mixing, nra_topk, toxicity_mil, url_lm
+from tidemark.llm import decontam, hamming_dedup, mixing, nra_topk, toxicity_mil, url_lm
 from tidemark.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op8_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_seeded_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -33,6 +37,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_language_model, op2_nra_top_k, op3_toxicity_mil, op8_hamming_near_dedup,
-                          op10_mix_sources)
+                          op9_seeded_decontamination,                          op10_mix_sources)
 }
 SQL: dict[str, str] = {"op2_nra_top_k": nra_topk.ORACLE_SQL, "op10_mix_sources": mixing.ORACLE_SQL}
