@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, hamming_dedup, mixing, nra_topk, toxicity_mil, url_lm
+from tidemark.llm import bloom_lm, decontam, hamming_dedup, mixing, nra_topk, toxicity_mil, url_lm
 from tidemark.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_mil.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_language_model, op2_nra_top_k, op3_toxicity_mil, op8_hamming_near_dedup,
-                          op9_seeded_decontamination,                          op10_mix_sources)
+    f.__name__: f for f in (op1_url_language_model, op2_nra_top_k, op3_toxicity_mil, op4_bloom_language_model,
+                          op8_hamming_near_dedup,                          op9_seeded_decontamination,                          op10_mix_sources)
 }
 SQL: dict[str, str] = {"op2_nra_top_k": nra_topk.ORACLE_SQL, "op10_mix_sources": mixing.ORACLE_SQL}
