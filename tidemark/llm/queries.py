@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bloom_lm, decontam, hamming_dedup, mixing, nra_topk, toxicity_mil, url_lm
+from tidemark.llm import (
+    bloom_lm,
+    decontam,
+    hamming_dedup,
+    langid_bitmask,
+    mixing,
+    nra_topk,
+    secret_scan,
+    toxicity_mil,
+    url_lm,
+    warc_zip,
+)
 from tidemark.llm.common import table
 
 
@@ -26,6 +37,18 @@ def op4_bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_language_bitmasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid_bitmask.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,7 +63,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_language_model, op2_nra_top_k, op3_toxicity_mil, op4_bloom_language_model,
-                          op8_hamming_near_dedup,                          op9_seeded_decontamination,                          op10_mix_sources)
+    f.__name__: f
+    for f in (
+        op1_url_language_model, op2_nra_top_k, op3_toxicity_mil, op4_bloom_language_model, op5_secret_ownership,
+        op6_language_bitmasks, op7_warc_zip, op8_hamming_near_dedup, op9_seeded_decontamination, op10_mix_sources,
+    )
+}
+SQL: dict[str, str] = {
+    "op2_nra_top_k": nra_topk.ORACLE_SQL,
+    "op5_secret_ownership": secret_scan.ORACLE_SQL,
+    "op7_warc_zip": warc_zip.ORACLE_SQL,
+    "op10_mix_sources": mixing.ORACLE_SQL,
 }
-SQL: dict[str, str] = {"op2_nra_top_k": nra_topk.ORACLE_SQL, "op10_mix_sources": mixing.ORACLE_SQL}
