@@ -142,7 +142,7 @@ def passage_finder(shared, seeds_shared, min_score: float):
         table = np.array(sorted(seeds), np.int64)
         for b in it:
             out = []
-            for r, t in enumerate(binary_list(b.column(1))):
+            for r, t in enumerate(binary_list(b.column(2))):
                 c = items.encode(words_of(t))
                 if len(c) < GRAM:
                     out += [(r, k, 1.0, 0, len(c)) for k in items.short.get(tuple(c.tolist()), ()) if len(c)]
@@ -160,9 +160,10 @@ def passage_finder(shared, seeds_shared, min_score: float):
                     out += [(r, k, *x) for x in passages(items.codes[k], c, found, min_score)]
             cols = list(zip(*out, strict=True)) if out else [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(cols[0], pa.int64())), pa.array([items.ids[k] for k in cols[1]], pa.int64()),
+                [b.column(0).take(pa.array(cols[0], pa.int64())), b.column(1).take(pa.array(cols[0], pa.int64())),
+                 pa.array([items.ids[k] for k in cols[1]], pa.int64()),
                  pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
-                names=["doc_id", "item_id", "score", "word_start", "word_end"])
+                names=["doc_id", "text_hash", "item_id", "score", "word_start", "word_end"])
 
     return run
 
@@ -195,11 +196,11 @@ def passages(item: np.ndarray, doc: np.ndarray, found: list[tuple[int, int]], mi
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 4, min_score: float = 0.5,
                chunk_bytes: int = 8 << 20) -> DataFrame:
-    """doc_id, item_id, score, word_start, word_end: one row per leaked passage of a benchmark item."""
+    """doc_id, text_hash, item_id, score, word_start, word_end: one row per leaked passage of a benchmark item."""
     spark = docs.sparkSession
-    texts = docs.select("doc_id", "text")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, score double, word_start long, word_end long"
+    schema = f"doc_id {kind}, text_hash long, item_id long, score double, word_start long, word_end long"
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // (chunk_bytes // 2)))  # chunks by hash are uneven: twice as many as would fit
@@ -215,3 +216,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 4, min_score
         found = texts.mapInArrow(passage_finder(shared, seeds, min_score), schema)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` that hold no passage of the benchmark."""
+    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left_anti")

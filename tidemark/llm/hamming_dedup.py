@@ -75,19 +75,19 @@ def minhash(s: np.ndarray) -> np.ndarray:
 
 
 def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to the set's size, a 128-bit name of the set, and the signature."""
+    """(doc_id, text_hash, text) to the set's size, a 128-bit name of the set, and the signature."""
     hashes = WordHash()
     for b in it:
         sizes, names, sigs = [], [], []
-        for text in binary_list(b.column(1)):
+        for text in binary_list(b.column(2)):
             s = shingle_set(words_of(text), hashes)
             sizes.append(len(s))
             names.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             sigs.append(minhash(s) if len(s) else np.array([], np.int32))
         flat = np.concatenate(sigs) if sigs else np.array([], np.int32)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
-             list_array(flat, [len(x) for x in sigs], pa.int32())], names=["doc_id", "n_shingles", "name", "sig"])
+            [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
+             list_array(flat, [len(x) for x in sigs], pa.int32())], names=["doc_id", "text_hash", "n_shingles", "name", "sig"])
 
 
 def shingles(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,11 +152,11 @@ def with_partner_count(pairs: DataFrame) -> DataFrame:
     return pairs.join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and class_id (the smallest id with the same set) of every row."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, class_id, least_id and component (an internal number) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = materialise(docs.select("doc_id", "text").mapInArrow(
-        sign, f"doc_id {kind}, n_shingles long, name binary, sig array<int>"))
+    signed = materialise(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        sign, f"doc_id {kind}, text_hash long, n_shingles long, name binary, sig array<int>"))
     # Classes of equal sets; a class is named by a number of its own, since ids may be null.
     classes = materialise(
         signed.where(F.col("name").isNotNull()).groupBy("name")
@@ -198,12 +198,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = (classes.select("name", "rep", "class_id").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
              .withColumn("component", F.coalesce("component", "rep")))
     least = named.groupBy("component").agg(F.min("class_id").alias("least_id"))
-    final = named.join(least, "component").select("name", "class_id", "least_id")
-    out = signed.select("doc_id", "n_shingles", "name").join(final, "name", "left")
+    final = named.join(least, "component").select("name", "class_id", "least_id", "component")
+    return signed.select("doc_id", "text_hash", "n_shingles", "name").join(final, "name", "left").drop("name")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept and class_id (the smallest id with the same set) of every row."""
     component = F.coalesce("least_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"),
-                      F.coalesce("class_id", "doc_id").alias("class_id"))
+    return grouped(docs).select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.coalesce("class_id", "doc_id").alias("class_id"))
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs``, one row of each group: that of the smallest id (null last), then text hash."""
+    found = materialise(grouped(docs).where(F.col("component").isNotNull()).select("doc_id", "text_hash", "component"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = found.groupBy("component").agg(F.min(key).alias("first"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    keys = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    losers = found.join(first, "component").where(key != F.col("first")).select(*keys).distinct()
+    rest = docs.join(losers, same, "left_anti")
+    repeated = materialise(found.groupBy("doc_id", "text_hash").count().where("count > 1").select(*keys))
+    if not repeated.limit(1).count():
+        return rest
+    once = rest.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return rest.join(repeated, same, "left_anti").unionByName(once)
 
 
 def set_table(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:

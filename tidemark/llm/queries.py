@@ -54,7 +54,7 @@ def op8_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_seeded_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

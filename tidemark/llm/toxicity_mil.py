@@ -34,6 +34,8 @@ PER_WORD = len(PREFIXES) + 1
 FOLDS = 5
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+|\n")
 CACHE = 300_000
+LIMIT = 0.5
+SCORE, SPANS = "__score", "__spans"  # internal names that input columns do not clash with
 
 
 def word_features(word: bytes) -> list[int]:
@@ -167,14 +169,16 @@ def spans_of(text: str, p: np.ndarray, level: float) -> str:
     return ",".join(out)
 
 
-def scorer(model):
+def scorer(model, keep: list[str]):
+    """Passes the ``keep`` columns on and adds score and spans of the text column."""
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = model.value
         weights = Memo(lambda word: float(sum(w[f] for f in word_features(word))))
         ends = Memo(is_end)
         for batch in it:
             scores, spans = [], []
-            for text in binary_list(batch.column(2)):
+            for text in binary_list(batch.column("text")):
                 words = marked_words(text)
                 if not words:
                     scores.append(0.0)
@@ -189,16 +193,27 @@ def scorer(model):
                 scores.append(min(1.0, max(0.0, score)))
                 spans.append(spans_of(text.decode("utf-8", "replace"), 1 / (1 + np.exp(-z)), 0.5) if score >= 0.5 else "")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array(spans, pa.string())],
-                names=["doc_id", "held_out", "score", "spans"])
+                [*(batch.column(c) for c in keep), pa.array(scores, pa.float64()), pa.array(spans, pa.string())],
+                names=[*keep, SCORE, SPANS])
 
     return run
 
 
+def with_scores(docs: DataFrame, model, keep: list[str]) -> DataFrame:
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return docs.mapInArrow(scorer(model, keep), f"{kinds}{SCORE} double, {SPANS} string")
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 4000) -> DataFrame:
     """doc_id, held_out, score, predicted and the located sentences of every row."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_train))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "text").mapInArrow(
-        scorer(model), f"doc_id {kind}, held_out boolean, score double, spans string")
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+    rows = docs.select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "text")
+    return with_scores(rows, model, ["doc_id", "held_out"]).select(
+        "doc_id", "held_out", F.col(SCORE).alias("score"), (F.col(SCORE) >= LIMIT).cast("int").alias("predicted"),
+        F.col(SPANS).alias("spans"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, max_train: int = 4000) -> DataFrame:
+    """The rows and columns of ``docs`` that score below the limit."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_train))
+    return with_scores(docs, model, docs.columns).where(F.col(SCORE) < LIMIT).drop(SCORE, SPANS)
