@@ -1,12 +1,13 @@
 """Toxicity by multiple-instance learning: document labels train sentence scores.
 
 A document is a bag of sentences. A sentence's probability is a logistic function of hashed features
-of its words (the word and its 4-, 5- and 6-byte prefixes); a document is toxic if any sentence is
-(noisy-or: 1 - prod(1 - p)). Only document labels are known, so the gradient of the document's
+of its words (the word and its prefixes of 4 to 8 bytes); a document is toxic if any sentence is
+(noisy-or: 1 - prod(1 - p)). A sentence without evidence has p = 0 exactly, so length alone never makes
+a document toxic; while training, a small leak stands for what no sentence explains. Only document labels are known, so the gradient of the document's
 likelihood decides how much each sentence answers for. The model is fitted on at most ``max_train``
 labelled documents of each class (an ordered, seeded choice; the documented bound), each weighted by
-the share of its class that was drawn, with features made on the executors; the fitted weights (one
-megabyte) are broadcast, and every whole text is scored. Sentences with p >= 0.5 are located.
+the share of its class that was drawn, with features made on the executors; the fitted weights (sparse by an
+L1 penalty) are broadcast, and every whole text is scored. Sentences with p >= 0.5 are located.
 
 Defined results: null or empty texts have no sentence, score 0; if the training labels hold no toxic
 document every score is 0; a null label is no label, several labels of one id count as their maximum;
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import binary_list, fold, list_array
 
-BITS = 18
-MASK = (1 << BITS) - 1
+MASK = (1 << 31) - 1
 EDGE = b".,;:!?\"'()[]{}"
-PREFIXES = (4, 5, 6)
-PER_WORD = len(PREFIXES) + 1
+PREFIXES = (4, 5, 6, 7, 8)
+BASE = -3.0  # logit of a sentence without features
+LEAK = 0.05  # -log(1 - p) of a document without any offending sentence, while training
+SUPPORT = 2  # training documents that a feature must occur in
 FOLDS = 5
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+|\n")
 CACHE = 300_000
@@ -42,7 +44,7 @@ def word_features(word: bytes) -> list[int]:
     w = word.strip(EDGE)
     if not w:
         return []
-    return [zlib.crc32(w) & MASK, *(zlib.crc32(b"\x00%d" % n + w[:n]) & MASK for n in PREFIXES)]
+    return [zlib.crc32(w) & MASK, *(zlib.crc32(b"\x00%d" % n + w[:n]) & MASK for n in PREFIXES if n < len(w))]
 
 
 def is_end(word: bytes) -> bool:
@@ -94,10 +96,30 @@ def featurise(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              list_array(cat(lens), [len(x) for x in lens], pa.int32())], names=["label", "ids", "lens"])
 
 
-def train(labels: np.ndarray, ids: list[np.ndarray], lens: list[np.ndarray], weight: dict[int, float],
-          epochs: int = 12, min_steps: int = 1500, batch: int = 64, rate: float = 0.3, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Noisy-or logistic weights and intercept by AdaGrad over bounded minibatches."""
-    w, g2, b, b2 = np.zeros(1 << BITS), np.full(1 << BITS, 1e-3), -4.0, 1e-3
+def compact(ids: list[np.ndarray], support: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Features numbered from 1, and their hashes; those of fewer than ``support`` documents all become 0."""
+    if not ids:
+        return [], np.array([], np.int32)
+    names, flat = np.unique(np.concatenate(ids), return_inverse=True)
+    cut = np.cumsum([len(x) for x in ids])[:-1]
+    parts = np.split(flat.astype(np.int32), cut)
+    docs = np.zeros(len(names), np.int32)
+    for x in parts:
+        docs[np.unique(x)] += 1
+    kept = docs >= support
+    number = np.where(kept, np.cumsum(kept), 0).astype(np.int32)
+    return [number[x] for x in parts], names[kept]
+
+
+def evidence(z: np.ndarray) -> np.ndarray:
+    """-log(1 - p) of sentences with logit z; nothing at or below the logit of a sentence without features."""
+    return np.maximum(0.0, np.logaddexp(0, z) - np.logaddexp(0, BASE))
+
+
+def train(labels: np.ndarray, ids: list[np.ndarray], lens: list[np.ndarray], weight: dict[int, float], n_features: int,
+          epochs: int = 12, min_steps: int = 500, batch: int = 64, rate: float = 0.5, l1: float = 1e-3) -> np.ndarray:
+    """Noisy-or logistic weights (feature 0 stays 0), by AdaGrad with an L1 proximal step."""
+    w, g2 = np.zeros(n_features + 1), np.full(n_features + 1, 1e-4)
     rng = np.random.default_rng(7)
     rows = np.array([i for i in range(len(labels)) if len(ids[i])], int)
     epochs = max(epochs, -(-min_steps * batch // max(1, len(rows))))
@@ -108,31 +130,28 @@ def train(labels: np.ndarray, ids: list[np.ndarray], lens: list[np.ndarray], wei
             f = np.concatenate([ids[i] for i in pick])
             ln = np.concatenate([lens[i] for i in pick])
             per_doc = np.array([len(lens[i]) for i in pick])
-            starts = np.cumsum(ln) - ln
-            z = np.clip(np.add.reduceat(w[f], starts) + b, -30, 30)
-            p = 1 / (1 + np.exp(-z))
-            none = np.add.reduceat(np.logaddexp(0, z), np.cumsum(per_doc) - per_doc)  # -log(1 - P)
-            toxic = np.maximum(-np.expm1(-none), 1e-9)
-            factor = np.where(labels[pick] == 1, -np.exp(-none) / toxic, 1.0)
+            z = np.clip(np.add.reduceat(w[f], np.cumsum(ln) - ln) + BASE, -30, 30)
+            none = LEAK + np.add.reduceat(evidence(z), np.cumsum(per_doc) - per_doc)  # -log(1 - P)
+            factor = np.where(labels[pick] == 1, np.exp(-none) / np.expm1(-none), 1.0)
             factor *= np.array([weight[y] for y in labels[pick]]) / len(pick)
-            gz = p * np.repeat(factor, per_doc)
-            u, inv = np.unique(f, return_inverse=True)
-            g = np.bincount(inv, np.repeat(gz, ln), len(u)) + l2 * w[u] / len(pick)
-            g2[u] += g * g
-            w[u] -= rate * g / np.sqrt(g2[u])
-            gb = gz.sum()
-            b2 += gb * gb
-            b -= rate * gb / np.sqrt(b2)
-    return w, float(b)
-
-
-def fit(docs: DataFrame, labels: DataFrame, max_train: int) -> tuple[np.ndarray, float]:
+            gz = np.where(z >= BASE, 1 / (1 + np.exp(-z)), 0.0) * np.repeat(factor, per_doc)
+            g = np.bincount(f, np.repeat(gz, ln), n_features + 1)
+            u = np.flatnonzero(g)
+            u = u[u > 0]
+            g2[u] += g[u] ** 2
+            step = rate / np.sqrt(g2[u])
+            new = w[u] - step * g[u]
+            w[u] = np.sign(new) * np.maximum(0.0, np.abs(new) - step * l1)
+    return w
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_train: int) -> dict[int, float]:
     """Weights from the labelled documents outside the held-out fold; at most max_train of each class."""
     known = (labels.where(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), FOLDS) != 0))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
     total = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     if not total.get(1):
-        return np.zeros(1 << BITS), -30.0
+        return {}
     drawn = None
     for y in (0, 1):
         part = known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
@@ -143,12 +162,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int) -> tuple[np.ndarray,
         featurise, "label int, ids array<int>, lens array<int>").toArrow()
     y = rows.column("label").to_numpy()
     if not (y == 1).any():
-        return np.zeros(1 << BITS), -30.0
+        return {}
     split = lambda n: [x.values.to_numpy() for x in rows.column(n)]
     count = {k: max(1, int((y == k).sum())) for k in (0, 1)}
     share = {k: total.get(k, 0) / count[k] for k in (0, 1)}
     top = max(share.values()) or 1.0
-    return train(y, split("ids"), split("lens"), {k: v / top for k, v in share.items()})
+    ids, names = compact(split("ids"), SUPPORT)
+    w = train(y, ids, split("lens"), {k: v / top for k, v in share.items()}, len(names))
+    return {int(names[k - 1]): float(w[k]) for k in np.flatnonzero(w)}
 
 
 def spans_of(text: str, p: np.ndarray, level: float) -> str:
@@ -173,8 +194,8 @@ def scorer(model, keep: list[str]):
     """Passes the ``keep`` columns on and adds score and spans of the text column."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, b = model.value
-        weights = Memo(lambda word: float(sum(w[f] for f in word_features(word))))
+        w = model.value
+        weights = Memo(lambda word: sum(w.get(f, 0.0) for f in word_features(word)))
         ends = Memo(is_end)
         for batch in it:
             scores, spans = [], []
@@ -186,12 +207,10 @@ def scorer(model, keep: list[str]):
                     continue
                 x = np.fromiter(map(weights.__getitem__, words), float, len(words))
                 starts = sentence_starts(np.fromiter(map(ends.__getitem__, words), bool, len(words)))
-                z = np.clip(np.add.reduceat(x, starts) + b, -30, 30)
-                only = np.fromiter(map(b".".__ne__, words), bool, len(words))  # a bare line break has no words
-                z[~np.logical_or.reduceat(only, starts)] = -30
-                score = float(-np.expm1(-np.logaddexp(0, z).sum()))
+                found = evidence(np.clip(np.add.reduceat(x, starts) + BASE, -30, 30))
+                score = float(-np.expm1(-found.sum()))
                 scores.append(min(1.0, max(0.0, score)))
-                spans.append(spans_of(text.decode("utf-8", "replace"), 1 / (1 + np.exp(-z)), 0.5) if score >= 0.5 else "")
+                spans.append(spans_of(text.decode("utf-8", "replace"), -np.expm1(-found), LIMIT) if score >= 0.5 else "")
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(scores, pa.float64()), pa.array(spans, pa.string())],
                 names=[*keep, SCORE, SPANS])
@@ -204,7 +223,7 @@ def with_scores(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     return docs.mapInArrow(scorer(model, keep), f"{kinds}{SCORE} double, {SPANS} string")
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 4000) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 2000) -> DataFrame:
     """doc_id, held_out, score, predicted and the located sentences of every row."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_train))
     rows = docs.select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "text")
@@ -213,7 +232,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 4000) ->
         F.col(SPANS).alias("spans"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, max_train: int = 4000) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, max_train: int = 2000) -> DataFrame:
     """The rows and columns of ``docs`` that score below the limit."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_train))
     return with_scores(docs, model, docs.columns).where(F.col(SCORE) < LIMIT).drop(SCORE, SPANS)
