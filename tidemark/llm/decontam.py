@@ -5,9 +5,9 @@
 2. Seeds. In every run of ``window`` neighbouring n-grams of an item the rarest one is a seed, so any
    stretch of an item that is copied over ``window + 2`` words holds a seed, however common the item
    has become; ties go to the first.
-3. Documents are read again; seed hits of one item close to a diagonal form a passage, which is cut
-   out with a margin and aligned with the item, word by word (match 2, mismatch and gap -1, local). The
-   score is divided by that of the whole item; ``min_score`` of it makes a leak, so edited and
+3. Documents are read again; the words around each diagonal that a seed hit names (with half an item as
+   margin) are aligned with the item, word by word (match 2, mismatch and gap -1, local). The score is
+   divided by that of the whole item; ``min_score`` of it makes a leak, so edited and
    paraphrased copies count by the words they keep.
 
 The benchmark reaches the workers in chunks of at most ``chunk_bytes`` of text (by a hash of the
@@ -152,11 +152,11 @@ def passage_finder(shared, seeds_shared, min_score: float):
                         out += [(r, k, 1.0, p, p + n) for k in items.short.get(tuple(c[p:p + n].tolist()), ())]
                 at, codes = items.doc_grams(c)
                 hit = among(codes, table)
-                places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+                diagonals: dict[int, set[int]] = defaultdict(set)
                 for p, g in zip(at[hit].tolist(), codes[hit].tolist(), strict=True):
                     for k, j in seeds[g]:
-                        places[k].append((p - j, p))
-                for k, found in places.items():
+                        diagonals[k].add(p - j)
+                for k, found in diagonals.items():
                     out += [(r, k, *x) for x in passages(items.codes[k], c, found, min_score)]
             cols = list(zip(*out, strict=True)) if out else [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
@@ -168,29 +168,19 @@ def passage_finder(shared, seeds_shared, min_score: float):
     return run
 
 
-def passages(item: np.ndarray, doc: np.ndarray, found: list[tuple[int, int]], min_score: float) -> list[tuple[float, int, int]]:
-    """Align the item with each cluster of seed hits whose diagonals are within half an item; no overlaps."""
-    m, out, done = len(item), [], -1
-    found.sort()
-    first = last = found[0][0]
-    clusters = []
-    for d, _ in found[1:]:
-        if d - last > m // 2:
-            clusters.append((first, last))
-            first = d
-        last = d
-    clusters.append((first, last))
-    for lo, hi in clusters:
-        # long chains of hits (an item repeated many times) are aligned piece by piece
-        for s in range(lo, hi + 1, 2 * m):
-            a = max(0, s - m // 2, done)
-            z = min(len(doc), min(hi, s + 2 * m) + m + m // 2)
-            while a < z:
-                score, x, y = align(item, doc[a:z])
-                if score < min_score * MATCH * m:
-                    break
-                out.append((score / (MATCH * m), a + x, a + y))
-                done = a = a + y
+def passages(item: np.ndarray, doc: np.ndarray, found: set[int], min_score: float) -> list[tuple[float, int, int]]:
+    """Align the item around each diagonal with a seed hit, from left to right; passages do not overlap."""
+    m, out, done = len(item), [], 0
+    for d in sorted(found):
+        if d + m // 2 < done:
+            continue  # lies in a passage already found
+        a, z = max(0, done, d - m // 2), min(len(doc), d + m + m // 2)
+        if a >= z:
+            continue
+        score, x, y = align(item, doc[a:z])
+        if score >= min_score * MATCH * m:
+            out.append((score / (MATCH * m), a + x, a + y))
+            done = a + y
     return out
 
 
