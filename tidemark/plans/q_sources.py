@@ -42,14 +42,12 @@ def _rsel(keys, floats, src):
 
 
 @query("a01_price_extract", f"""
-{oracle_with('raw_dsf', 'raw_dsenames')}
-SELECT a.date, a.permno, b.ticker, b.company_name, b.shrcd, b.exchange_code,
-  round(a.prc + 1.3e-09, 6) AS prc, round(a.openprc + 1.3e-09, 6) AS openprc, round(a.askhi + 1.3e-09, 6) AS askhi,
-  round(a.bidlo + 1.3e-09, 6) AS bidlo, a.vol, round(a.ret + 1.3e-09, 6) AS ret, round(a.retx + 1.3e-09, 6) AS retx,
-  a.shrout, round(a.cfacpr + 1.3e-09, 6) AS cfacpr, round(a.cfacshr + 1.3e-09, 6) AS cfacshr
-FROM raw_dsf a JOIN raw_dsenames b ON a.permno = b.permno AND b.namedt <= a.date AND a.date <= b.nameendt
-WHERE a.date >= DATE '{RANGE_A01[0]}' AND a.date <= DATE '{RANGE_A01[1]}' AND b.shrcd IN (10, 11)
-  AND b.exchange_code IN (1, 2, 3) AND abs(a.prc) >= 5 AND a.vol > 0
+{oracle_with('raw_dsf', 'raw_dsenames')},
+common AS (SELECT * FROM raw_dsenames WHERE shrcd IN {X.COMMON_SHARE_CODES} AND exchange_code IN {X.MAJOR_EXCHANGES}),
+traded AS (SELECT * FROM raw_dsf WHERE date BETWEEN DATE '{RANGE_A01[0]}' AND DATE '{RANGE_A01[1]}' AND vol > 0 AND abs(prc) >= {X.MIN_ABS_PRICE})
+SELECT date, permno, ticker, company_name, shrcd, exchange_code, vol, shrout,
+  {', '.join(f'round({c} + 1.3e-09, 6) AS {c}' for c in ('prc', 'openprc', 'askhi', 'bidlo', 'ret', 'retx', 'cfacpr', 'cfacshr'))}
+FROM traded JOIN common USING (permno) WHERE date BETWEEN namedt AND nameendt
 """)
 def a01_price_extract(t):
     """A-01: daily prices with the name valid on the date, common stock, major exchange, filters."""

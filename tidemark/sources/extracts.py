@@ -17,54 +17,57 @@ from pyspark.sql import functions as F
 COMMON_SHARE_CODES = (10, 11)
 MAJOR_EXCHANGES = (1, 2, 3)
 MIN_ABS_PRICE = 5
+# Column names of the names history and of the daily stock file.
+NAME_COLUMNS = ["ticker", "company_name", "shrcd", "exchange_code"]
+PRICE_COLUMNS = ["prc", "openprc", "askhi", "bidlo", "vol", "ret", "shrout", "cfacpr", "cfacshr"]
+
+
+def _day(x) -> dt.date:
+    return dt.date.fromisoformat(x) if isinstance(x, str) else dt.date(x.year, x.month, x.day)
 
 
 @dataclass(frozen=True)
 class DateRange:
-    """A-09: inclusive date range; strings or dates, both required, start <= end."""
+    """A-09: an inclusive, non-empty range of days."""
 
     start: dt.date
     end: dt.date
 
     @classmethod
     def of(cls, start, end) -> "DateRange":
-        if start is None or end is None:
-            raise ValueError("start and end are both required")
-        s, e = (dt.date.fromisoformat(x) if isinstance(x, str) else x for x in (start, end))
-        if isinstance(s, dt.datetime):
-            s = s.date()
-        if isinstance(e, dt.datetime):
-            e = e.date()
-        if not isinstance(s, dt.date) or not isinstance(e, dt.date):
-            raise TypeError("start and end must be dates or 'YYYY-MM-DD' strings")
-        if s > e:
-            raise ValueError("start must not be after end")
-        return cls(s, e)
+        """From dates, timestamps or ISO strings; anything else, or an empty range, is a ValueError."""
+        try:
+            out = cls(_day(start), _day(end))
+        except AttributeError:
+            raise ValueError(f"not a pair of days: {start!r}, {end!r}") from None
+        if out.end < out.start:
+            raise ValueError(f"empty date range: {out.start} to {out.end}")
+        return out
 
     def col_between(self, c: str):
         return F.col(c).between(F.lit(self.start), F.lit(self.end))
 
 
+def traded(raw_dsf: DataFrame, start, end) -> DataFrame:
+    """Rows of the range that traded at a price of at least five dollars."""
+    return raw_dsf.where(DateRange.of(start, end).col_between("date")).where("vol > 0").where(F.abs("prc") >= MIN_ABS_PRICE)
+
+
 def price_extract(raw_dsf: DataFrame, names: DataFrame, start, end) -> DataFrame:
-    """A-01: daily prices joined to the name valid on the date, common stock, major exchanges."""
-    r = DateRange.of(start, end)
-    a = raw_dsf.filter(r.col_between("date") & (F.abs("prc") >= MIN_ABS_PRICE) & (F.col("vol") > 0))
-    b = names.filter(F.col("shrcd").isin(list(COMMON_SHARE_CODES)) & F.col("exchange_code").isin(list(MAJOR_EXCHANGES)))
-    j = a.join(b, (a.permno == b.permno) & (b.namedt <= a.date) & (a.date <= b.nameendt), "inner")
-    return j.select(a.date, a.permno, b.ticker, b.company_name, b.shrcd, b.exchange_code, a.prc, a.openprc, a.askhi,
-                    a.bidlo, a.vol, a.ret, a.retx, a.shrout, a.cfacpr, a.cfacshr).orderBy("date", "permno")
+    """A-01: traded rows with the name in effect, common stock on a major exchange, by date and security."""
+    common = names.where(F.col("shrcd").isin(*COMMON_SHARE_CODES) & F.col("exchange_code").isin(*MAJOR_EXCHANGES))
+    named = traded(raw_dsf, start, end).join(common, "permno").where(F.col("date").between(F.col("namedt"), F.col("nameendt")))
+    return named.select("date", "permno", *NAME_COLUMNS, *PRICE_COLUMNS, "retx").orderBy("date", "permno")
 
 
 def dsf_range(raw_dsf: DataFrame, start, end) -> DataFrame:
-    """A-02: daily stock file rows in the range with abs(prc) >= 5 and vol > 0."""
-    r = DateRange.of(start, end)
-    return raw_dsf.filter(r.col_between("date") & (F.abs("prc") >= MIN_ABS_PRICE) & (F.col("vol") > 0)).select(
-        "date", "permno", "prc", "openprc", "askhi", "bidlo", "vol", "ret", "shrout", "cfacpr", "cfacshr")
+    """A-02: traded rows of the daily stock file."""
+    return traded(raw_dsf, start, end).select("date", "permno", *PRICE_COLUMNS)
 
 
 def names(raw_dsenames: DataFrame) -> DataFrame:
     """A-03: names history."""
-    return raw_dsenames.select("permno", "ticker", "company_name", "shrcd", "exchange_code", "namedt", "nameendt")
+    return raw_dsenames.select("permno", *NAME_COLUMNS, "namedt", "nameendt")
 
 
 FUND_COLUMNS = ["gvkey", "datadate", "rdq", "fyearq", "fqtr", "revtq", "cogsq", "niq", "atq", "ceqq", "cheq",
