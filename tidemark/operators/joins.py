@@ -55,15 +55,19 @@ def asof_join(panel: DataFrame, facts: DataFrame, by, panel_date: str, fact_date
                           F.when(fresh, m["_eff"]).alias(prefix + fact_date))
 
 
-def forward_window_sum(panel: DataFrame, by: str, value: str, start: int, end: int, out: str) -> DataFrame:
-    """C-13: sum of ``value`` over trading rows t+start .. t+end (bounded forward frame).
+def next_row_join(events: DataFrame, rows: DataFrame, by: str, event_date: str, row_date: str,
+                  row_cols: list[str]) -> DataFrame:
+    """C-13: each event with ``row_cols`` of the first row of its key on or after the event's date.
 
-    NULL when the frame runs past the end of the data (fewer than end-start+1 rows).
+    The as-of carry run backwards: rows and events are unioned, and walking from the last day to
+    the first the newest row seen is carried to the events. Linear, one shuffle by key.
     """
-    w = Window.partitionBy(by).orderBy("date").rowsBetween(start, end)
-    n = end - start + 1
-    return panel.withColumn(out, F.when(F.count(F.lit(1)).over(w) == n,
-                                        F.sum(F.coalesce(F.col(value), F.lit(0.0))).over(w)))
+    r = rows.select(F.col(by).alias("_by"), F.col(row_date).alias("_t"), F.lit(0).alias("_k"),
+                    F.struct(*[F.col(c).alias(c) for c in row_cols]).alias("_row"))
+    e = events.select("*", F.col(by).alias("_by"), F.col(event_date).alias("_t"), F.lit(1).alias("_k"))
+    w = Window.partitionBy("_by").orderBy(F.col("_t").desc(), "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = e.unionByName(r, allowMissingColumns=True).withColumn("_m", F.last("_row", ignorenulls=True).over(w))
+    return u.filter(F.col("_k") == 1).select(*events.columns, *[F.col("_m")[c].alias(c) for c in row_cols])
 
 
 def attach_point_in_time(panel: DataFrame, sources: list[tuple[str, DataFrame, str, list[str], int | None]],
@@ -73,22 +77,27 @@ def attach_point_in_time(panel: DataFrame, sources: list[tuple[str, DataFrame, s
     ``sources``: (name, facts, fact_date, value_cols, max_age_days); each facts frame has
     ``permno`` and at most one row per (permno, fact_date) (dedupe first). ``flows``:
     (daily frame with permno/date, value columns, days) summed over the trailing days.
-    Panel rows, facts and flows are unioned and ordered by ``day * 4 + kind`` (facts
-    before the panel row of the same day, inclusive as-of); carries use a running
-    frame, flows a RANGE frame on the same key, so one shuffle and one sort serve all.
+    Panel rows, facts and flows are unioned and ordered by day, then kind (facts and
+    flows before the panel row of the same day, inclusive as-of), in one number whose
+    multiplier is the number of kinds, so any number of sources keeps its order; carries
+    use a running frame, flows a RANGE frame on the same key, so one shuffle and one
+    sort serve all.
     """
+    flow_kind = len(sources)
+    panel_kind = flow_kind + 1
+    kinds = panel_kind + 1
+
     def day(c):
         return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("long")
 
-    panel_kind = 3
-    p = panel.select("*", (day("date") * 4 + panel_kind).alias("_key"), F.lit(True).alias("_panel"))
+    p = panel.select("*", (day("date") * kinds + panel_kind).alias("_key"), F.lit(True).alias("_panel"))
     parts = [p]
     for i, (name, facts, fdate, vals, _) in enumerate(sources):
         s = F.struct(F.col(fdate).alias("_eff"), *[F.col(v).alias(v) for v in vals])
-        parts.append(facts.select("permno", (day(fdate) * 4 + i).alias("_key"), s.alias(f"_src_{name}")))
+        parts.append(facts.select("permno", (day(fdate) * kinds + i).alias("_key"), s.alias(f"_src_{name}")))
     if flows is not None:
         daily, cols, _ = flows
-        parts.append(daily.select("permno", (day("date") * 4 + 2).alias("_key"), *cols))
+        parts.append(daily.select("permno", (day("date") * kinds + flow_kind).alias("_key"), *cols))
     u = parts[0]
     for part in parts[1:]:
         u = u.unionByName(part, allowMissingColumns=True)
@@ -99,7 +108,7 @@ def attach_point_in_time(panel: DataFrame, sources: list[tuple[str, DataFrame, s
             w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if flows is not None:
         _, cols, days = flows
-        frame = w.rangeBetween(-(4 * (days - 1) + panel_kind), 0)
+        frame = w.rangeBetween(-(kinds * (days - 1) + panel_kind), 0)
         for c in cols:
             carried[f"_f_{c}"] = F.coalesce(F.sum(c).over(frame), F.lit(0.0))
     u = u.withColumns(carried).filter(F.col("_panel"))
