@@ -36,8 +36,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset (local
-    tests) a scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only a single-process local session
+    may do without: it gets a scratch folder. On a cluster an unset folder is an error,
+    because executors would write to their own disks.
     """
     sc = spark.sparkContext
     conf = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -13,17 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """A-11."""
-    df.write.mode(mode).parquet(path)
-    return path
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A-10: local path or object-store URI (abfss://, s3a://) alike."""
-    return spark.read.parquet(path)
-
-
 def write_partitioned(df: DataFrame, spark: SparkSession, name: str, date_col: str = "date",
                       levels: tuple[str, ...] = ("year", "month")) -> str:
     """A-12/A-22: Hive layout ``year=/month=[/day=]`` derived from the date column."""
@@ -31,11 +20,16 @@ def write_partitioned(df: DataFrame, spark: SparkSession, name: str, date_col: s
              "quarter": F.quarter(date_col)}
     out = df.withColumns({lv: parts[lv].cast("int") for lv in levels})
     path = scratch_path(spark, name)
-    # one writer task per partition value keeps the file count per folder small
-    out.repartition(*levels).write.mode("overwrite").partitionBy(*levels).parquet(path)
+    rebalanced(out, levels).write.mode("overwrite").partitionBy(*levels).parquet(path)
     return path
 
 
+def rebalanced(df: DataFrame, levels) -> DataFrame:
+    """Rows grouped by the partition columns for few files per folder; AQE splits a large folder over
+    several writer tasks and merges small ones, so no folder is bound to one task."""
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(levels)}) */ * FROM {{df}}", df=df)
+
+
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """Filters on the partition columns prune folders (PartitionFilters in the scan)."""
     return spark.read.option("basePath", path).parquet(path)
@@ -64,20 +58,33 @@ def changed_partitions(old: DataFrame, new: DataFrame, keys: list[str]) -> DataF
 
 def refresh(spark: SparkSession, path: str, fresh: DataFrame, keys: list[str], age_hours: float,
             max_age_hours: float = 24.0) -> DataFrame:
-    """A-14: if the stored copy is older than ``max_age_hours``, rewrite only the changed partitions.
+    """A-14: if the stored copy is older than ``max_age_hours``, make it equal to ``fresh`` by rewriting
+    only the added and changed partitions and deleting the removed ones.
 
-    Returns the change list (empty when fresh or unchanged). Uses dynamic partition
-    overwrite, so untouched partitions keep their files.
+    Returns the change list, without rows when the copy is young enough. The list is written before the
+    lake is touched, because it is derived from the files that the rewrite replaces.
     """
-    if age_hours < max_age_hours:
-        return spark.createDataFrame([], "status string")
-    stored = read_partitioned(spark, path)
+    stored = read_partitioned(spark, path).select(fresh.columns)
     changes = changed_partitions(stored, fresh, keys)
+    if age_hours < max_age_hours:
+        return changes.limit(0)
+    listed = scratch_path(spark, "refresh-changes")
+    changes.write.parquet(listed)
+    changes = spark.read.schema(changes.schema).parquet(listed)
     to_write = fresh.join(changes.filter(F.col("status") != "removed").select(*keys), keys, "left_semi")
-    (to_write.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+    (rebalanced(to_write, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(path))
+    for gone in changes.filter(F.col("status") == "removed").select(*keys).toLocalIterator():  # one row per folder
+        delete_folder(spark, f"{path}/" + "/".join(f"{k}={gone[k]}" for k in keys))
     return changes
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Through the cluster's file system, which need not be this machine's."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def latest_per(df: DataFrame, key: str, ts: str) -> DataFrame:
     """A-19/A-20/A-23: newest row per key (registry, run log, model pointer)."""
     cols = [c for c in df.columns if c != key]
@@ -89,8 +96,6 @@ def annotate(df: DataFrame, meta: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(c, metadata=dict(meta)) for c in df.columns])
 
 
-
-
 def is_nonempty(df: DataFrame) -> bool:
     """A-17: cheap emptiness check (reads at most one row)."""
     return not df.isEmpty()
