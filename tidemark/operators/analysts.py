@@ -31,3 +31,11 @@ def earnings_events(actuals: DataFrame, ibes_detail: DataFrame) -> DataFrame:
         F.when(F.col("c_numest") >= MIN_ANALYSTS_DISPERSION, F.try_divide(F.col("c_stdev"), F.abs(c)))
         .alias("analyst_dispersion"),
     )
+
+
+def latest_period(events: DataFrame) -> DataFrame:
+    """One event per security and announcement day: that of the latest fiscal period."""
+    values = [c for c in events.columns if c not in ("permno", "earnings_date", "fpedats")]
+    best = F.max_by(F.struct(*values), "fpedats").alias("_e")
+    return events.groupBy("permno", "earnings_date").agg(F.max("fpedats").alias("fpedats"), best).select(
+        "permno", "earnings_date", "fpedats", "_e.*")

@@ -31,18 +31,17 @@ def winsorise(df: DataFrame, cols: list[str], by: str = "date") -> DataFrame:
     return df.withColumns(out)
 
 
-# Fixed value: a per-group std below this fraction of |mean| is rounding noise of a
-# constant cross-section and counts as zero (z is NULL).
-DEGENERATE_STD = 1e-10
+def zscore(df: DataFrame, cols: list[str], by: list[str] | None = None, suffix: str = "_z", noise: float = 0.0) -> DataFrame:
+    """K-02/K-03: (x - mean) / std within date (and sector when ``by`` includes it).
 
-
-def zscore(df: DataFrame, cols: list[str], by: list[str] | None = None, suffix: str = "_z") -> DataFrame:
-    """K-02/K-03: (x - mean) / std within date (and sector when ``by`` includes it)."""
+    A group whose std is at most ``noise`` times its |mean| counts as constant (z is NULL); 0 by
+    default: only an exactly constant group does.
+    """
     d = Window.partitionBy(*(by or ["date"]))
     out = {}
     for c in cols:
         mean, std = F.avg(c).over(d), F.stddev_samp(c).over(d)
-        out[c + suffix] = F.when((std > 0) & (std > F.abs(mean) * DEGENERATE_STD), F.try_divide(F.col(c) - mean, std))
+        out[c + suffix] = F.when((std > 0) & (std > F.abs(mean) * noise), F.try_divide(F.col(c) - mean, std))
     return df.withColumns(out)
 
 
@@ -60,8 +59,3 @@ def rank_top(df: DataFrame, score: str, n: int = TOP_N, by: str = "date", tie: s
     """E-15/L-10: rank 1..N per date by score (desc, NULLs excluded), keep the top N."""
     w = Window.partitionBy(by).orderBy(F.col(score).desc(), F.col(tie))
     return df.filter(F.col(score).isNotNull()).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-
-
-def percent_rank(df: DataFrame, score: str, by: str = "date", out: str = "pct_rank") -> DataFrame:
-    w = Window.partitionBy(by).orderBy(F.col(score))
-    return df.filter(F.col(score).isNotNull()).withColumn(out, F.percent_rank().over(w))

@@ -95,7 +95,8 @@ EVENT_VALUES = ["earnings_surprise", "earnings_revision_30d", "analyst_dispersio
 def event_asof_cte(panel: str, name: str = "ea") -> tuple[str, str]:
     fresh = f"e.earnings_date IS NOT NULL AND datediff('day', e.earnings_date, b.date) <= {FFILL_MAX_DAYS}"
     cols = ", ".join(f"CASE WHEN {fresh} THEN e.{c} END AS {c}" for c in EVENT_VALUES)
-    return (name, f"SELECT b.*, {cols} FROM {panel} b ASOF LEFT JOIN ev e ON b.permno = e.permno AND b.date >= e.earnings_date")
+    return (name, f"SELECT b.*, {cols} FROM {panel} b ASOF LEFT JOIN "
+                  "(SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY permno, earnings_date ORDER BY fpedats DESC) = 1) e ON b.permno = e.permno AND b.date >= e.earnings_date")
 
 
 INS_DAILY = ("ins_d", """SELECT permno, trade_date AS date, sum(CASE WHEN transaction_type = 'P' THEN shares ELSE 0 END) AS bought,

@@ -29,6 +29,9 @@ FIXTURE_LIQUIDITY_FLOOR = 100_000
 # Fixed value: the as-of day of the incremental run (K-07) and its lookback rows.
 INCREMENTAL_DAY = "1998-06-30"
 LOOKBACK_ROWS = 650
+# Two engines that sum a constant cross-section in different orders disagree on whether its std is 0;
+# the compared queries call anything below this share of |mean| constant.
+ENGINE_NOISE = 1e-10
 
 
 def _r(cols):
@@ -37,7 +40,7 @@ def _r(cols):
 
 def _z_sql(c: str, part: str) -> str:
     m, sd = f"avg({c}) OVER (PARTITION BY {part})", f"stddev_samp({c}) OVER (PARTITION BY {part})"
-    return f"CASE WHEN {sd} > 0 AND {sd} > abs({m}) * {PR.DEGENERATE_STD!r} THEN ({c} - {m}) / {sd} END"
+    return f"CASE WHEN {sd} > 0 AND {sd} > abs({m}) * {ENGINE_NOISE!r} THEN ({c} - {m}) / {sd} END"
 
 
 def price_factor_frame(t: Tables, bars: DataFrame | None = None) -> DataFrame:
@@ -59,7 +62,7 @@ def factor_panel(t: Tables) -> DataFrame:
     """
     df = price_factor_frame(t)
     q = FU.linked_quarters(t["fundq"], t["ccm_link"])
-    ev = AN.earnings_events(FU.announcements(t["fundq"], t["ccm_link"]), t["ibes_detail"])
+    ev = AN.latest_period(AN.earnings_events(FU.announcements(t["fundq"], t["ccm_link"]), t["ibes_detail"]))
     df = attach_point_in_time(
         df,
         [("fund", q, "eff", FU.FUND_VALUES, FU.FFILL_MAX_DAYS),
@@ -120,7 +123,7 @@ SELECT permno, date, {', '.join(r6(_z_sql(c, 'date'), c + '_z') for c in FACTOR_
 """)
 def k02_factor_zscores(t):
     """K-02: every factor z-scored within date."""
-    return PR.zscore(factor_panel(t), FACTOR_NAMES).select("permno", "date", *[c + "_z" for c in FACTOR_NAMES])
+    return PR.zscore(factor_panel(t), FACTOR_NAMES, noise=ENGINE_NOISE).select("permno", "date", *[c + "_z" for c in FACTOR_NAMES])
 
 
 WINSOR_COLS = ["ret_12m_skip1m", "vol_20d", "amihud_illiquidity", "bid_ask_spread_proxy", "RSI_14"]
@@ -155,7 +158,7 @@ FROM pf JOIN sector s ON pf.permno = s.permno
 def k03_sector_zscores(t):
     """K-03: z-scores within date and sector (sector neutral)."""
     df = price_factor_frame(t).join(t["sector"], "permno")
-    return PR.zscore(df, ZS_COLS, by=["date", "sector"], suffix="_sz").select(
+    return PR.zscore(df, ZS_COLS, by=["date", "sector"], suffix="_sz", noise=ENGINE_NOISE).select(
         "permno", "date", "sector", *[c + "_sz" for c in ZS_COLS])
 
 

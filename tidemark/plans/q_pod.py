@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidemark.operators.pod import PASS1, PASS2, PASS3, PASS4, PASS5, RISK, build_pod
 from tidemark.plans.catalog import query
 from tidemark.plans.oracle_parts import ctes, pod_risk_sql_ctes
@@ -10,9 +12,20 @@ from tidemark.plans.sqlkit import r6
 from tidemark.sources.tables import oracle_with
 
 
+# Price impact per dollar is of the order 1e-7: these queries report it per million dollars, like the
+# factor, so that six decimals keep its digits.
+PER_MILLION = ("amihud_daily", "amihud_20")
+MILLION = 1_000_000.0
+
+
 def _pod_sql(cols: list[str], upto: int) -> str:
     body = oracle_with("bars") + ",\n" + ctes(pod_ctes(upto))
-    return f"{body}\nSELECT permno, date, {', '.join(r6(c, c) for c in cols)} FROM pod_p{upto}"
+    value = {c: f"{c} * CAST({MILLION} AS DOUBLE)" if c in PER_MILLION else c for c in cols}
+    return f"{body}\nSELECT permno, date, {', '.join(r6(v, c) for c, v in value.items())} FROM pod_p{upto}"
+
+
+def _reported(cols: list[str]):
+    return [(F.col(c) * MILLION).alias(c) if c in PER_MILLION else F.col(c) for c in cols]
 
 
 @query("h_pod_pass1", _pod_sql(PASS1, 1))
@@ -24,13 +37,13 @@ def h_pod_pass1(t):
 @query("h_pod_pass2", _pod_sql(PASS2, 2))
 def h_pod_pass2(t):
     """H-25..H-54: rolling means/stds/extremes, EWMs, OBV, lags of SMAs."""
-    return build_pod(t["bars"], upto=2).select("permno", "date", *PASS2)
+    return build_pod(t["bars"], upto=2).select("permno", "date", *_reported(PASS2))
 
 
 @query("h_pod_pass3_5", _pod_sql(PASS3 + PASS4 + PASS5, 5))
 def h_pod_pass3_5(t):
     """H-55..H-65: MACD, Bollinger, ATR, Amihud, stochastics, MACD signal and histogram."""
-    return build_pod(t["bars"], upto=5).select("permno", "date", *(PASS3 + PASS4 + PASS5))
+    return build_pod(t["bars"], upto=5).select("permno", "date", *_reported(PASS3 + PASS4 + PASS5))
 
 
 @query("e08_risk_columns", f"""
