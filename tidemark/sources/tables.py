@@ -21,7 +21,7 @@ RECIPES: dict[str, str] = {
     "raw_dsf": """
 SELECT l_suppkey AS permno, CAST(l_shipdate AS DATE) AS date,
   l_orderkey * 100000000 + l_linenumber * 10000000 + l_partkey AS row_id,
-  CASE WHEN l_orderkey % 7 = 0 THEN -1 ELSE 1 END * (50 + l_extendedprice / 10000) AS prc,
+  CASE WHEN l_orderkey % 7 = 0 THEN -1 ELSE 1 END * (50 + l_extendedprice / 10000) * CASE WHEN l_orderkey % 79 = 0 THEN 2 ELSE 1 END AS prc,
   CASE WHEN l_orderkey % 97 = 0 THEN 0 WHEN l_orderkey % 83 = 0 THEN 20
        ELSE 50 + l_extendedprice / 10000 * (0.95 + l_discount) END AS openprc,
   (51 + l_extendedprice / 10000) * (1 + l_tax) AS askhi,
