@@ -7,10 +7,12 @@
    the pigeonhole principle one chunk differs in at most RADIUS // CHUNKS = 1 symbol, so a key per
    chunk and per allowed error position (that symbol left out) brings every such pair together.
    RADIUS is 3.2 standard deviations above the expected distance of a pair of similarity 0.75.
-4. Links without all pairs. Round one links each signature to the smallest of each of its keys'
-   members and checks the nearest of them; copies of a text thereby fall into one component with a
-   linear number of checks. Round two compares, within a key, only members of different components,
-   so no link between components is lost and no group is expanded into pairs.
+4. Links without all pairs. Each signature meets the smallest member of each of its keys. Round one
+   confirms the nearest of them that is within the radius; copies of a text thereby fall into one
+   component with a linear number of checks. Round two looks for links between components: signatures
+   that such meetings connect form a cluster, whose members meet in blocks that count all intersections
+   by matrix products and return one link per joining; members of one key in different clusters are
+   compared by signature. No pair within the radius is skipped, and no group is expanded into rows of pairs.
 5. Confirmation. Every candidate is confirmed on the full sets (100 * intersection >= 75 * union),
    and confirmed links make the components.
 
@@ -40,6 +42,8 @@ CHUNKS = 14
 PERCENT = 75
 PAIRS_PER_GROUP = 64  # candidate partners that are confirmed together
 CACHE = 300_000
+BLOCK = 512  # members of a cluster that are compared at once
+COLUMNS = 8192  # shingles of an incidence matrix that are multiplied at once
 
 
 class WordHash(dict):
@@ -148,6 +152,84 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                           "a long, b long"))
 
 
+def intersections(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the sets of two blocks and of all their intersections, by products of incidence matrices."""
+    flat, lens = [], []
+    for t in (a, b):
+        col = t.column("shingles").combine_chunks()
+        flat.append(col.flatten().to_numpy(zero_copy_only=False))
+        lens.append(col.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    common = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    row, col = [], []
+    for f, n in zip(flat, lens, strict=True):
+        k = np.minimum(np.searchsorted(common, f), max(0, len(common) - 1))
+        hit = common[k] == f if len(common) else np.zeros(len(f), bool)
+        row.append(np.repeat(np.arange(len(n)), n)[hit])
+        col.append(k[hit])
+    both = np.zeros((len(lens[0]), len(lens[1])), np.float32)  # exact: counts stay below 2**24
+    for lo in range(0, len(common), COLUMNS):
+        m = []
+        for r, c, n in zip(row, col, lens, strict=True):
+            here = (c >= lo) & (c < lo + COLUMNS)
+            x = np.zeros((len(n), min(COLUMNS, len(common) - lo)), np.float32)
+            x[r[here], c[here] - lo] = 1
+            m.append(x)
+        both += m[0] @ m[1].T
+    return lens[0], lens[1], both.astype(np.int64)
+
+
+def block_links(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+    """Links between two blocks of a cluster that join components; one link for each joining suffices."""
+    found: list[tuple[int, int]] = []
+    if a.num_rows and b.num_rows:
+        size_a, size_b, both = intersections(a, b)
+        ca, cb = a.column("component").to_numpy(), b.column("component").to_numpy()
+        link = 100 * both >= PERCENT * (size_a[:, None] + size_b[None, :] - both)
+        link &= ca[:, None] != cb[None, :]
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        ra, rb = a.column("rep").to_numpy(), b.column("rep").to_numpy()
+        for i, j in zip(*np.nonzero(link), strict=True):
+            x, y = root(int(ca[i])), root(int(cb[j]))
+            if x != y:
+                up[x] = y
+                found.append((int(ra[i]), int(rb[j])))
+    cols = list(zip(*found, strict=True)) or [[], []]
+    return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64())})
+
+
+def within_clusters(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components of each cluster (rep, cluster, component), from all its pairs.
+
+    A cluster is cut into blocks of about BLOCK members: large components have blocks of their own, small
+    ones share. Blocks meet in pairs, but for two blocks of one component, so a set is sent once per block.
+    """
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    small = sizes.groupBy("cluster").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n")).otherwise(0)).alias("rest"))
+    plan = sizes.join(small, "cluster")
+    cut = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK))
+    large = F.col("n") >= BLOCK
+    block = F.when(large, F.concat_ws("-", F.col("component"), F.pmod(F.xxhash64("rep"), cut(F.col("n"))))).otherwise(
+        F.concat_ws("-", F.lit("rest"), F.pmod(F.xxhash64("component"), cut(F.col("rest")))))
+    rows = materialise(members.join(plan, ["cluster", "component"]).select(
+        "cluster", "rep", "component", block.alias("block"), F.when(large, F.col("component")).alias("own"))
+        .join(sets, "rep"))
+    blocks = rows.select("cluster", "block", "own").distinct()
+    x, y = blocks.alias("x"), blocks.alias("y")
+    meets = x.join(y, (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.block") <= F.col("y.block"))
+                   & ~F.coalesce(F.col("x.own") == F.col("y.own"), F.lit(False)))
+    meets = materialise(meets.select(F.col("x.cluster").alias("cluster"), F.col("x.block").alias("p"), F.col("y.block").alias("q")))
+    names = ["cluster", "p", "q", "rep", "component", "shingles"]
+    left = rows.withColumnRenamed("block", "p").join(meets, ["cluster", "p"]).select(names).toDF(*names)
+    right = rows.withColumnRenamed("block", "q").join(meets, ["cluster", "q"]).select(names).toDF(*names)
+    return left.groupBy("cluster", "p", "q").cogroup(right.groupBy("cluster", "p", "q")).applyInArrow(block_links, "a long, b long")
+
+
 def with_partner_count(pairs: DataFrame) -> DataFrame:
     return pairs.join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a")
 
@@ -169,30 +251,36 @@ def grouped(docs: DataFrame) -> DataFrame:
                   .where(F.col("hub") != F.col("top")).select("key", "hub"), "key"))
     side = lambda n: classes.select(F.col("rep").alias(n), F.col("size").alias(f"size_{n}"), F.col("sig").alias(f"sig_{n}"))
     star = shared.where(F.col("rep") != F.col("hub")).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    near = (star.join(side("a"), "a").join(side("b"), "b")
-            .where(size_fits(F.col("size_a"), F.col("size_b")))
-            .withColumn("far", differing(F.col("sig_a"), F.col("sig_b"))).where(F.col("far") <= RADIUS))
+    near = materialise(
+        star.join(side("a"), "a").join(side("b"), "b").where(size_fits(F.col("size_a"), F.col("size_b")))
+        .withColumn("far", differing(F.col("sig_a"), F.col("sig_b"))).where(F.col("far") <= RADIUS).select("a", "b", "far"))
     best = near.groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
     first = materialise(best)
 
-    links = materialise(confirm(with_partner_count(first), set_table(docs, classes, first)))
+    links = materialise(confirm(with_partner_count(first), set_table(docs, classes, ends(first))))
     labels = connected_components(links)
 
-    # Round two: members of one key in different components.
-    part = (shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("component", F.coalesce("component", "rep")))
-    mixed = part.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    open_rows = materialise(part.join(mixed, "key").select("key", "rep", "component")
-                            .join(classes.select("rep", "size", "sig"), "rep"))
+    # Round two, within clusters of near signatures: all members meet in blocks, on their full sets.
+    clusters = connected_components(near.select("a", "b"))
+    members = (clusters.withColumnRenamed("component", "cluster").join(labels, "node", "left")
+               .select(F.col("node").alias("rep"), "cluster", F.coalesce("component", "node").alias("component")))
+    split = members.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    unsettled = materialise(members.join(split.select("cluster"), "cluster"))
+    inside = within_clusters(unsettled, set_table(docs, classes, unsettled.select("rep")))
+
+    # Round two, between clusters: members of one key whose signatures are near.
+    part = (shared.join(clusters.withColumnRenamed("node", "rep"), "rep", "left")
+            .select("key", "rep", F.coalesce("component", "rep").alias("cluster")))
+    mixed = part.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo != hi").select("key")
+    open_rows = materialise(part.join(mixed, "key").join(classes.select("rep", "size", "sig"), "rep"))
     x, y = open_rows.alias("x"), open_rows.alias("y")
-    second = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-                     & (F.col("x.rep") < F.col("y.rep")) & size_fits(F.col("x.size"), F.col("y.size"))
-                     & (differing(F.col("x.sig"), F.col("y.sig")) <= RADIUS))
-              .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = materialise(second.join(tried, ["a", "b"], "left_anti"))
-    more = confirm(with_partner_count(second), set_table(docs, classes, second))
-    labels = connected_components(links.unionByName(more))
+    between = materialise(
+        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cluster") != F.col("y.cluster"))
+               & (F.col("x.rep") < F.col("y.rep")) & size_fits(F.col("x.size"), F.col("y.size"))
+               & (differing(F.col("x.sig"), F.col("y.sig")) <= RADIUS))
+        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+    across = confirm(with_partner_count(between), set_table(docs, classes, ends(between)))
+    labels = connected_components(links.unionByName(inside).unionByName(across))
 
     # The component's name is the smallest id of its classes.
     named = (classes.select("name", "rep", "class_id").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -226,10 +314,13 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     return rest.join(repeated, same, "left_anti").unionByName(once)
 
 
-def set_table(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(rep, shingles) of the classes that occur in ``pairs``, made again from one document of each class."""
-    wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    wanted = materialise(classes.join(wanted, "rep").select("rep", "name", F.col("class_id").alias("doc_id")))
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+
+
+def set_table(docs: DataFrame, classes: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, shingles) of the classes in ``reps``, made again from one document of each class."""
+    wanted = materialise(classes.join(reps, "rep").select("rep", "name", F.col("class_id").alias("doc_id")))
     rows = docs.select("doc_id", "text")
     texts = rows.join(wanted.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_semi").select("text")
     if wanted.where("doc_id is null").limit(1).count():  # classes of documents without ids
