@@ -43,26 +43,27 @@ def trailing_insider(daily: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
                         F.when(s > 0, F.try_divide(b, s)).alias("insider_buy_sell_ratio"))
 
 
-def trailing_on_panel(panel: DataFrame, daily: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
-    """Trailing sums evaluated on every panel row: panel and activity rows share one range window."""
-    p = panel.select("*", F.lit(1).alias("_panel"))
-    u = p.unionByName(daily.select("permno", "date", "bought", "sold"), allowMissingColumns=True)
-    w = Window.partitionBy("permno").orderBy(day_number("date")).rangeBetween(-(days - 1), 0)
-    b = F.coalesce(F.sum("bought").over(w), F.lit(0.0))
-    s = F.coalesce(F.sum("sold").over(w), F.lit(0.0))
-    out = u.withColumns({"insider_shares_bought": b, "insider_shares_sold": s})
-    out = out.withColumn("insider_buy_sell_ratio", F.when(F.col("insider_shares_sold") > 0,
-                                                          F.try_divide("insider_shares_bought", "insider_shares_sold")))
-    return out.filter(F.col("_panel") == 1).drop("_panel", "bought", "sold")
-
-
 def insider_clusters(form4: DataFrame, days: int = CLUSTER_DAYS) -> DataFrame:
-    """E-14: distinct insiders buying in the trailing ``days`` days, per buying day."""
-    buys = (form4.filter(F.col("transaction_type") == BUY)
-            .select("permno", F.col("trade_date").alias("date"), "filer").distinct())
-    w = Window.partitionBy("permno").orderBy(day_number("date")).rangeBetween(-(days - 1), 0)
-    per_row = buys.withColumn("cluster_insiders", F.size(F.collect_set("filer").over(w)))
-    return per_row.groupBy("permno", "date").agg(F.max("cluster_insiders").alias("cluster_insiders"))
+    """E-14: distinct insiders buying in the trailing ``days`` days, per buying day.
+
+    A purchase counts for its insider on the ``days`` days from it on. Per insider, overlapping spans
+    merge: +1 on the first day of a merged span, -1 on the day after its last. Summed per day and added
+    up per security (days are bounded by the calendar), that is the number of insiders, however many file.
+    """
+    buys = form4.filter(F.col("transaction_type") == BUY).select("permno", "filer", F.col("trade_date").alias("date")).distinct()
+    own = Window.partitionBy("permno", "filer").orderBy("date")
+    starts = F.coalesce(F.datediff("date", F.lag("date").over(own)) >= days, F.lit(True))
+    ends = F.coalesce(F.datediff(F.lead("date").over(own), "date") >= days, F.lit(True))
+    spans = buys.select("permno", "date", starts.alias("starts"), ends.alias("ends"))
+    steps = spans.select("permno", F.explode(F.array(
+        F.struct("date", F.col("starts").cast("long").alias("step"), F.lit(True).alias("buying")),
+        F.struct(F.date_add("date", days).alias("date"), (-F.col("ends").cast("long")).alias("step"), F.lit(False).alias("buying")),
+    )).alias("x"))
+    daily = steps.groupBy("permno", F.col("x.date").alias("date")).agg(
+        F.sum("x.step").alias("step"), F.max("x.buying").alias("buying"))
+    run = Window.partitionBy("permno").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (daily.withColumn("cluster_insiders", F.sum("step").over(run)).filter("buying")
+            .select("permno", "date", "cluster_insiders"))
 
 
 def cluster_events(form4: DataFrame, min_insiders: int = CLUSTER_MIN_INSIDERS) -> DataFrame:

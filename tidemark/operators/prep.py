@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.semantics import clip, safe_ln
+from tidemark.session import written
 
 # Winsorisation levels and liquidity floors.
 WINSOR_DEFAULT = (0.01, 0.99)
@@ -22,27 +23,33 @@ TOP_N = 100
 
 
 def winsorise(df: DataFrame, cols: list[str], by: str = "date") -> DataFrame:
-    """K-01: clip each column to its per-date percentile bounds (1-99, 5-95 for skewed)."""
-    d = Window.partitionBy(by)
-    out = {}
-    for c in cols:
-        lo, hi = WINSOR_SKEWED if c in SKEWED_FACTORS else WINSOR_DEFAULT
-        out[c] = clip(c, F.percentile(c, lo).over(d), F.percentile(c, hi).over(d))
-    return df.withColumns(out)
+    """K-01: clip each column to its per-date percentile bounds (1-99, 5-95 for skewed).
+
+    Bounds are an aggregate per date (calendar-sized) that is joined back, so the wide rows are
+    neither sorted nor moved by date; both levels of a column come from one pass.
+    """
+    df = written(df, "winsor-input")
+    level = {c: WINSOR_SKEWED if c in SKEWED_FACTORS else WINSOR_DEFAULT for c in cols}
+    bounds = df.groupBy(by).agg(*[F.percentile(c, list(level[c])).alias(f"_b_{c}") for c in cols])
+    out = {c: clip(c, F.col(f"_b_{c}")[0], F.col(f"_b_{c}")[1]) for c in cols}
+    return df.join(bounds, by, "left").withColumns(out).select(df.columns)
 
 
 def zscore(df: DataFrame, cols: list[str], by: list[str] | None = None, suffix: str = "_z", noise: float = 0.0) -> DataFrame:
     """K-02/K-03: (x - mean) / std within date (and sector when ``by`` includes it).
 
-    A group whose std is at most ``noise`` times its |mean| counts as constant (z is NULL); 0 by
-    default: only an exactly constant group does.
+    Means and stds are partial aggregates per group, joined back to the written rows. A group whose std
+    is at most ``noise`` times its |mean| counts as constant (z is NULL); 0 by default: only an exactly
+    constant group does.
     """
-    d = Window.partitionBy(*(by or ["date"]))
+    by = by or ["date"]
+    df = written(df, "zscore-input")
+    stats = df.groupBy(*by).agg(*[f(c).alias(f"_{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))])
     out = {}
     for c in cols:
-        mean, std = F.avg(c).over(d), F.stddev_samp(c).over(d)
+        mean, std = F.col(f"_m_{c}"), F.col(f"_s_{c}")
         out[c + suffix] = F.when((std > 0) & (std > F.abs(mean) * noise), F.try_divide(F.col(c) - mean, std))
-    return df.withColumns(out)
+    return df.join(stats, by, "left").withColumns(out).select(*df.columns, *out)
 
 
 def log_amihud(df: DataFrame, col: str = "amihud_illiquidity", out: str = "log_amihud") -> DataFrame:

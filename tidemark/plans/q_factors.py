@@ -126,7 +126,8 @@ def k02_factor_zscores(t):
     return PR.zscore(factor_panel(t), FACTOR_NAMES, noise=ENGINE_NOISE).select("permno", "date", *[c + "_z" for c in FACTOR_NAMES])
 
 
-WINSOR_COLS = ["ret_12m_skip1m", "vol_20d", "amihud_illiquidity", "bid_ask_spread_proxy", "RSI_14"]
+# Interpolated percentiles of dollar volumes differ between engines in the 12th digit: compared in thousands.
+IN_THOUSANDS, THOUSAND = ("avg_dollar_volume_20d",), 1000.0
 
 
 def _winsor_sql(c):
@@ -137,29 +138,26 @@ def _winsor_sql(c):
 
 
 @query("k01_winsorise", f"""
-{oracle_with('bars', 'raw_dsi')},
-{ctes(pod_risk_pairs(5) + [PF_CTE])}
-SELECT permno, date, {', '.join(r6(_winsor_sql(c), c) for c in WINSOR_COLS)} FROM pf
+{PANEL_WITH}
+SELECT permno, date, {', '.join(r6(_winsor_sql(c) + (f' / CAST({THOUSAND} AS DOUBLE)' if c in IN_THOUSANDS else ''), c) for c in FACTOR_NAMES)} FROM panel
 """)
 def k01_winsorise(t):
-    """K-01: per-date winsorisation at 1-99% (5-95% for Amihud and accruals)."""
-    return PR.winsorise(price_factor_frame(t), WINSOR_COLS).select("permno", "date", *WINSOR_COLS)
-
-
-ZS_COLS = ["ret_1m", "vol_20d", "RSI_14", "distance_52w_high"]
+    """K-01: per-date winsorisation of every factor at 1-99% (5-95% for Amihud and accruals)."""
+    return PR.winsorise(factor_panel(t), FACTOR_NAMES).select("permno", "date", *[
+        (F.col(c) / THOUSAND).alias(c) if c in IN_THOUSANDS else F.col(c) for c in FACTOR_NAMES])
 
 
 @query("k03_sector_zscores", f"""
-{oracle_with('bars', 'raw_dsi', 'sector')},
-{ctes(pod_risk_pairs(5) + [PF_CTE])}
-SELECT pf.permno, pf.date, s.sector, {', '.join(r6(_z_sql(c, 'pf.date, s.sector'), c + '_sz') for c in ZS_COLS)}
-FROM pf JOIN sector s ON pf.permno = s.permno
+{oracle_with(*ALL_TABLES, 'sector')},
+{ctes(PANEL_PAIRS)}
+SELECT panel.permno, panel.date, s.sector, {', '.join(r6(_z_sql(c, 'panel.date, s.sector'), c + '_sz') for c in FACTOR_NAMES)}
+FROM panel JOIN sector s ON panel.permno = s.permno
 """)
 def k03_sector_zscores(t):
-    """K-03: z-scores within date and sector (sector neutral)."""
-    df = price_factor_frame(t).join(t["sector"], "permno")
-    return PR.zscore(df, ZS_COLS, by=["date", "sector"], suffix="_sz", noise=ENGINE_NOISE).select(
-        "permno", "date", "sector", *[c + "_sz" for c in ZS_COLS])
+    """K-03: every factor z-scored within date and sector (sector neutral)."""
+    df = factor_panel(t).join(t["sector"], "permno")
+    return PR.zscore(df, FACTOR_NAMES, by=["date", "sector"], suffix="_sz", noise=ENGINE_NOISE).select(
+        "permno", "date", "sector", *[c + "_sz" for c in FACTOR_NAMES])
 
 
 @query("k04_log_amihud", f"""
