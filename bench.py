@@ -23,7 +23,7 @@ HEADLINE = [
     "a01_price_extract", "g05_pipeline_nine_rule", "g06_pipeline_cleaner", "h_pod_pass2", "h_pod_pass3_5",
     "e08_risk_columns", "c08_fundamentals_asof", "i18_analyst_events", "e13_insider_trailing",
     "k06_factor_panel", "k02_factor_zscores", "e15_rank_top100", "l04_historical_drift", "l14_decile_returns",
-    "m02_stream_bars",
+    "m02_stream_bars", "l07_factor_model_predictions", "l08_event_model_predictions",
 ]
 
 

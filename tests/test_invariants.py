@@ -78,3 +78,24 @@ def test_bars_builder_equals_recipe(spark, duck_small):
     sql = (oracle_with("bars") + " SELECT permno, date, volume, shares_outstanding, "
            + ", ".join(r6(c, c) for c in ["open", "high", "low", "close"]) + " FROM bars")
     assert compare(round_doubles(Tables(spark, SF_SMALL)["bars"]), duck_small, sql)["match"]
+
+
+def test_falling_prices_over_chunk_boundaries(spark):
+    """A series that falls from 100,000 to 0.5 over several chunks of the default size."""
+    import datetime as dt
+
+    import numpy as np
+    from numpy.lib.stride_tricks import sliding_window_view
+
+    n = 5000
+    rng = np.random.default_rng(3)
+    close = np.exp(np.linspace(np.log(1e5), np.log(0.5), n) + 0.01 * rng.normal(size=n))
+    rows = [(1, dt.date(2000, 1, 1) + dt.timedelta(days=i), float(c), float(c * 1.01), float(c * 0.99), float(c), 1000, 10)
+            for i, c in enumerate(close)]
+    bars = spark.createDataFrame(rows, "permno long, date date, open double, high double, low double, close double, "
+                                       "volume long, shares_outstanding long")
+    got = build_pod(bars, upto=3).select("date", "std_P_20", "SMA_200", "BB_width").orderBy("date").toPandas()
+    w20, w200 = sliding_window_view(close, 20), sliding_window_view(close, 200)
+    std, mean = w20.std(axis=1, ddof=1)[-4000:], w20.mean(axis=1)[-4000:]
+    for name, want, tol in (("std_P_20", std, 1e-9), ("SMA_200", w200.mean(axis=1)[-4000:], 1e-6), ("BB_width", 4 * std / mean, 1e-6)):
+        assert np.abs(got[name].astype(float).to_numpy()[-4000:] / want - 1).max() < tol, name

@@ -78,9 +78,9 @@ def pass2(df: DataFrame) -> DataFrame:
     w = chunk_window(KEY)
     p = F.col("_p")
     pre = Prefix(w, centers={"close": "_first_close"})
-    for x in ("close", "r", "r_down", "r_up"):
+    for x in ("r", "r_down", "r_up"):
         pre.count(x), pre.s1(x), pre.s2(x)
-    for x in ("dv", "volume", "high", "low"):
+    for x in ("close", "dv", "volume", "high", "low"):
         pre.count(x), pre.s1(x)
     df = pre.apply(df)
 
@@ -99,7 +99,8 @@ def pass2(df: DataFrame) -> DataFrame:
         "std_r_60": roll_std(w, "r", 60),
         "std_r_120": roll_std(w, "r", 120),
         "std_r_252": roll_std(w, "r", 252),
-        "std_P_20": roll_std(w, "close", 20),
+        # prices can fall by orders of magnitude within a series: no running sums of their squares
+        "std_P_20": full(F.stddev_samp, "close", w, 20),
         "std_r_down_20": roll_std(w, "r_down", 20),
         "std_r_up_20": roll_std(w, "r_up", 20),
         "high_14": full(F.max, "high", w, 14),
