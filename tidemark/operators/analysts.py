@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import asof_join
 from tidemark.sources.extracts import consensus
 
 # Analyst rules.
@@ -15,20 +14,31 @@ MIN_ANALYSTS_DISPERSION = 3
 
 def earnings_events(actuals: DataFrame, ibes_detail: DataFrame) -> DataFrame:
     """One row per announcement: actual, consensus just before (strict), consensus 30 days
-    earlier, analyst count, surprise, revision and dispersion."""
-    cons = consensus(ibes_detail).select("permno", "fpedats", "statpers", "meanest", "numest", "stdev")
-    ev = asof_join(actuals, cons, ["permno", "fpedats"], "anndats", "statpers", ["meanest", "numest", "stdev"],
-                   strict=True, prefix="c_")
-    ev = asof_join(ev, cons.select("permno", "fpedats", "statpers", "meanest"), ["permno", "fpedats"], "anndats",
-                   "statpers", ["meanest"], prefix="p_", panel_shift_days=REVISION_DAYS)
-    c, p = F.col("c_meanest"), F.col("p_meanest")
+    earlier, analyst count, surprise, revision and dispersion.
+
+    Both consensus lookups are carries over the same union of announcements and consensus rows, with
+    RANGE frames that end 1 and 30 days back: one shuffle and one sort.
+    """
+    def day(c: str):
+        return F.datediff(F.col(c), F.lit("1970-01-01").cast("date"))
+
+    cons = consensus(ibes_detail).select("permno", "fpedats", day("statpers").alias("_t"),
+                                         F.struct("meanest", "numest", "stdev").alias("_cons"))
+    w = Window.partitionBy("permno", "fpedats").orderBy("_t")
+    newest = F.last("_cons", ignorenulls=True)
+    ev = (actuals.select("*", day("anndats").alias("_t"), F.lit(True).alias("_announced"))
+          .unionByName(cons, allowMissingColumns=True)
+          .withColumns({"_c": newest.over(w.rangeBetween(Window.unboundedPreceding, -1)),
+                        "_p": newest.over(w.rangeBetween(Window.unboundedPreceding, -REVISION_DAYS))})
+          .filter("_announced"))
+    c, p = F.col("_c.meanest"), F.col("_p.meanest")
     return ev.select(
         "permno", F.col("anndats").alias("earnings_date"), "fpedats",
         F.col("actual").alias("EPS_actual"), c.alias("EPS_consensus"), p.alias("EPS_consensus_t_30"),
-        F.col("c_numest").alias("analyst_count"),
+        F.col("_c.numest").alias("analyst_count"),
         F.try_divide(F.col("actual") - c, F.abs(c)).alias("earnings_surprise"),
         F.try_divide(c - p, F.abs(p)).alias("earnings_revision_30d"),
-        F.when(F.col("c_numest") >= MIN_ANALYSTS_DISPERSION, F.try_divide(F.col("c_stdev"), F.abs(c)))
+        F.when(F.col("_c.numest") >= MIN_ANALYSTS_DISPERSION, F.try_divide(F.col("_c.stdev"), F.abs(c)))
         .alias("analyst_dispersion"),
     )
 
