@@ -111,3 +111,13 @@ def test_factor_catalogue_lineage(spark):
 
     cat = MD.factor_catalogue(spark)
     assert MD.lineage_gaps(cat, POD_COLUMNS + ["close", "high", "low"]).count() == 0
+
+
+def test_ewm_beyond_the_double_range_is_an_error(spark):
+    import pytest
+
+    w = Window.partitionBy(F.lit(1)).orderBy("i")
+    df = spark.range(1100).select(F.col("id").alias("i"), F.lit(1.0).alias("x"))
+    with pytest.raises(Exception, match="smaller chunks"):
+        df.select(ewm_mean("x", 3, w, F.col("i"))).collect()
+    assert df.filter("i < 900").select(ewm_mean("x", 3, w, F.col("i")).alias("e")).filter("abs(e - 1) < 1e-9").count() == 900

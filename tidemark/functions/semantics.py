@@ -77,19 +77,24 @@ def ewm_frame_rows(span: int, tol_log: float = 36.8) -> int:
     return int(math.ceil(tol_log / -math.log(q)))
 
 
+EXP_RANGE = 690.0  # exp of this, times any price, stays a finite double
+
+
 def ewm_mean(x, span: int, w: WindowSpec, pos: Column) -> Column:
     """Adjusted exponentially weighted mean (alpha = 2/(span+1)) as running sums.
 
     num_t = sum_i q^(t-i) x_i = q^t * sum_i q^-i x_i, both sums running (O(1) per row,
     no per-row arrays). ``pos`` is the row position inside the window partition,
     starting at 0; partitions are bounded (see ``series.split_series``) so q^-pos
-    stays inside the double range. NULL inputs carry no weight; the result is NULL
-    until the first non-null input.
+    stays inside the double range, and a position beyond it is an error, never a wrong
+    value. NULL inputs carry no weight; the result is NULL until the first non-null input.
     """
     q = 1.0 - ewm_alpha(span)
     x = col(x)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    up = F.pow(F.lit(q), -pos)
+    limit = int(EXP_RANGE / -math.log(q))
+    too_long = F.raise_error(F.lit(f"an EWM of span {span} holds at most {limit} rows a partition: use smaller chunks"))
+    up = F.when(pos <= limit, F.pow(F.lit(q), -pos)).otherwise(too_long.cast("double"))
     num = F.sum(x * up).over(running)
     den = F.sum(F.when(x.isNotNull(), up)).over(running)
     return F.try_divide(num, den)
