@@ -62,6 +62,31 @@ def test_planted_copies_are_found_and_clean_documents_left_alone(spark):
     assert {x for x in got if x[0] < 200} <= brute
 
 
+def test_copies_with_every_fourth_to_sixth_word_changed(spark):
+    """Against the full table; the broken n-grams occur in one document each, the intact ones in many or in one."""
+    rng = np.random.default_rng(12)
+    items = [(i, " ".join(f"v{k}" for k in rng.integers(0, 5000, int(rng.integers(16, 60))))) for i in range(30)]
+    docs = []
+    for i, (k, text) in enumerate(items):
+        step, w = 4 + i % 3, text.split()
+        edited = [f"other{i}" if at % step == step - 1 else x for at, x in enumerate(w)]
+        for _ in range(1 + 5 * (i % 2)):
+            docs.append((len(docs), " ".join(["before"] * 9 + edited + ["after"] * 9)))
+        for at in range(step - 1, len(w), step):  # the n-grams around the edits, rarer than the intact ones when i is odd
+            docs.append((len(docs), " ".join(["x"] * 20 + w[max(0, at - 2):at + 3] + ["y"] * 40)))
+    want = {(i, k) for i, t in docs for k, item in items
+            if smith_waterman(item.split(), t.split()) >= 0.5 * dc.MATCH * len(item.split())}
+    assert {k for _, k in want} == set(range(30))
+    assert {(r.doc_id, r.item_id) for r in find(spark, docs, items).collect()} == want
+
+
+def test_a_repeated_ngram_does_not_cut_the_passage():
+    """The second place of an n-gram names a diagonal to the left, whose window holds a part of the copy only."""
+    item = np.array([1, 2, 3] + list(range(10, 40)) + [1, 2, 3] + list(range(50, 54)))
+    doc = np.concatenate([np.full(60, 99), item, np.full(60, 99)])
+    assert dc.passages(item, doc, {27, 60, 93}, 0.5) == [(1.0, 60, 60 + len(item))]
+
+
 def test_chunks_give_the_same(spark):
     docs, items, _ = corpus(5)
     one = {(r.doc_id, r.item_id, r.word_start, r.word_end) for r in find(spark, docs[150:], items).collect()}

@@ -1,14 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. The n-grams (three words, A-Z lower-cased) of the benchmark are counted over all documents: in how
-   many documents each occurs.
-2. Seeds. In every run of ``window`` neighbouring n-grams of an item the rarest one is a seed, so any
-   stretch of an item that is copied over ``window + 2`` words holds a seed, however common the item
-   has become; ties go to the first.
-3. Documents are read again; the words around each diagonal that a seed hit names (with half an item as
-   margin) are aligned with the item, word by word (match 2, mismatch and gap -1, local). The score is
-   divided by that of the whole item; ``min_score`` of it makes a leak, so edited and
-   paraphrased copies count by the words they keep.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+1. Seeds. Every n-gram (three words, A-Z lower-cased) of every benchmark item is a seed; those that occur in
+   no document hit nothing. None is left out for being common or rare, so one intact n-gram of a copy is
+   enough, wherever the copy was edited.
+2. The words around each diagonal that a seed hit names (with half an item as margin) are aligned with the
+   item, word by word (match 2, mismatch and gap -1, local). The score is divided by that of the whole
+   item; ``min_score`` of it makes a leak, so edited and paraphrased copies count by the words they keep.
+   A window that shares too few words with the item to reach ``min_score`` is not aligned: the score is at
+   most ``MATCH`` a shared word, so the bound loses nothing. An alignment that runs to the end of its
+   window is repeated with a longer one.
+
+What seeds cannot see: a copy that keeps no three neighbouring words of its item.
 
 The benchmark reaches the workers in chunks of at most ``chunk_bytes`` of text (by a hash of the
 item), one pass over the documents each: a larger benchmark means more passes, never a larger broadcast.
@@ -45,7 +47,14 @@ class Items:
         self.codes = [np.array([self.vocab[x] for x in w], np.int64) for w in self.words]
         self.base = len(self.vocab) + 1
         self.grams = [self.gram_codes(c) if len(c) >= GRAM else None for c in self.codes]
-        self.known = np.unique(np.concatenate([g for g in self.grams if g is not None] or [np.array([], np.int64)]))
+        # all n-grams sorted by code, each with its places: seed n is at item_of[first[n]:first[n + 1]]
+        none = [np.array([], np.int64)]
+        codes = np.concatenate([g for g in self.grams if g is not None] or none)
+        order = np.argsort(codes, kind="stable")
+        self.known, first = np.unique(codes[order], return_index=True)
+        self.first = np.append(first, len(codes))
+        self.item_of = np.concatenate([np.full(len(g), k) for k, g in enumerate(self.grams) if g is not None] or none)[order]
+        self.place = np.concatenate([np.arange(len(g)) for g in self.grams if g is not None] or none)[order]
         short = defaultdict(list)
         for k, g in enumerate(self.grams):
             if g is None:
@@ -70,40 +79,16 @@ class Items:
         return at, (c[at] * self.base + c[at + 1]) * self.base + c[at + 2]
 
 
-def among(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    if not len(table):
-        return np.zeros(len(codes), bool)
-    k = np.minimum(np.searchsorted(table, codes), len(table) - 1)
-    return table[k] == codes
-
-
-def frequency_counter(shared):
-    """Per batch, in how many of its documents each known n-gram occurs."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
-        for b in it:
-            found = []
-            for t in binary_list(b.column(0)):
-                _, codes = items.doc_grams(items.encode(words_of(t)))
-                found.append(np.unique(codes[among(codes, items.known)]))
-            g, n = np.unique(np.concatenate(found) if found else np.array([], np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(n, pa.int64())], names=["gram", "n"])
-
-    return run
-
-
-def choose_seeds(items: Items, frequency: dict[int, int], window: int) -> dict[int, list[tuple[int, int]]]:
-    """Seed n-gram to its places (item, position): the rarest of every ``window`` neighbours."""
-    seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for k, g in enumerate(items.grams):
-        if g is None:
-            continue
-        rare = [(frequency.get(int(x), 0), j) for j, x in enumerate(g)]
-        span = min(window, len(rare))
-        for j in sorted({min(rare[s:s + span])[1] for s in range(len(rare) - span + 1)}):
-            seeds[int(g[j])].append((k, j))
-    return dict(seeds)
+def seed_hits(codes: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every pair of a document n-gram and an equal item n-gram: index into ``codes``, item, position in the item."""
+    if not len(items.known):
+        return codes[:0], codes[:0], codes[:0]
+    seed = np.minimum(np.searchsorted(items.known, codes), len(items.known) - 1)
+    hit = np.flatnonzero(items.known[seed] == codes)
+    seed = seed[hit]
+    n = items.first[seed + 1] - items.first[seed]
+    at = np.repeat(items.first[seed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return np.repeat(hit, n), items.item_of[at], items.place[at]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -134,12 +119,11 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def passage_finder(shared, seeds_shared, min_score: float):
+def passage_finder(shared, min_score: float):
     """doc_id, item_id, score, and the aligned words [word_start, word_end) of every leak."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, seeds = shared.value, seeds_shared.value
-        table = np.array(sorted(seeds), np.int64)
+        items = shared.value
         for b in it:
             out = []
             for r, t in enumerate(binary_list(b.column(2))):
@@ -151,11 +135,10 @@ def passage_finder(shared, seeds_shared, min_score: float):
                     for p in range(len(c) - n + 1):
                         out += [(r, k, 1.0, p, p + n) for k in items.short.get(tuple(c[p:p + n].tolist()), ())]
                 at, codes = items.doc_grams(c)
-                hit = among(codes, table)
+                hit, k_hit, j_hit = seed_hits(codes, items)
                 diagonals: dict[int, set[int]] = defaultdict(set)
-                for p, g in zip(at[hit].tolist(), codes[hit].tolist(), strict=True):
-                    for k, j in seeds[g]:
-                        diagonals[k].add(p - j)
+                for k, d in zip(k_hit.tolist(), (at[hit] - j_hit).tolist(), strict=True):
+                    diagonals[k].add(d)
                 for k, found in diagonals.items():
                     out += [(r, k, *x) for x in passages(items.codes[k], c, found, min_score)]
             cols = list(zip(*out, strict=True)) if out else [[], [], [], [], []]
@@ -171,20 +154,34 @@ def passage_finder(shared, seeds_shared, min_score: float):
 def passages(item: np.ndarray, doc: np.ndarray, found: set[int], min_score: float) -> list[tuple[float, int, int]]:
     """Align the item around each diagonal with a seed hit, from left to right; passages do not overlap."""
     m, out, done = len(item), [], 0
+    least = min_score * MATCH * m
+    kinds, have = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(kinds, doc), len(kinds) - 1)
+    at = np.where(kinds[at] == doc, at, len(kinds))  # each word of the text as a word of the item, or none
+
+    def reachable(a: int, z: int) -> bool:
+        shared = np.minimum(np.bincount(at[a:z], minlength=len(kinds) + 1)[:-1], have).sum()
+        return MATCH * int(shared) >= least
+
+    if not reachable(0, len(doc)):
+        return out
     for d in sorted(found):
         if d + m // 2 < done:
             continue  # lies in a passage already found
         a, z = max(0, done, d - m // 2), min(len(doc), d + m + m // 2)
-        if a >= z:
+        if a >= z or not reachable(a, z):
             continue
         score, x, y = align(item, doc[a:z])
-        if score >= min_score * MATCH * m:
+        while score >= least and a + y == z < len(doc):  # cut by the window: the rest of the passage may follow
+            z = min(len(doc), z + m)
+            score, x, y = align(item, doc[a:z])
+        if score >= least:
             out.append((score / (MATCH * m), a + x, a + y))
             done = a + y
     return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 4, min_score: float = 0.5,
+def find_leaks(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5,
                chunk_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, text_hash, item_id, score, word_start, word_end: one row per leaked passage of a benchmark item."""
     spark = docs.sparkSession
@@ -199,11 +196,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 4, min_score
         part = rows.where(F.pmod(F.xxhash64("text"), F.lit(chunks)) == n).orderBy("item_id", "text").toArrow()
         items = Items(list(zip(part.column("item_id").to_pylist(), binary_list(part.column("text").combine_chunks()), strict=True)))
         shared = spark.sparkContext.broadcast(items)
-        counts = (texts.select("text").mapInArrow(frequency_counter(shared), "gram long, n long")
-                  .groupBy("gram").agg(F.sum("n").alias("n")).toArrow())  # at most the chunk's own n-grams
-        frequency = dict(zip(counts.column("gram").to_pylist(), counts.column("n").to_pylist(), strict=True))
-        seeds = spark.sparkContext.broadcast(choose_seeds(items, frequency, window))
-        found = texts.mapInArrow(passage_finder(shared, seeds, min_score), schema)
+        found = texts.mapInArrow(passage_finder(shared, min_score), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
