@@ -88,3 +88,11 @@ def test_repeated_text_scores_better_than_shuffled(spark):
     got = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got[5000].base_score == pytest.approx(got[5001].base_score)
     assert got[5000].score > got[5001].score + 3
+
+
+def test_a_region_keeps_every_counted_ngram():
+    import pyarrow as pa
+    keys = np.arange(1, 50_001, dtype=np.uint64) * np.uint64(2 ** 40)
+    ones = np.ones(len(keys))
+    t = lm.merger(pa.Table.from_batches([lm.region_runs(2, 7, keys, ones, ones * 0, 1)]))
+    assert (lm.unpacked(t.column("levels")[0].as_py(), np.uint8) >= 1).all() and t.column("items")[1].as_py() == len(keys)
