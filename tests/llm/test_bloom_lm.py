@@ -90,6 +90,50 @@ def test_repeated_text_scores_better_than_shuffled(spark):
     assert got[5000].score > got[5001].score + 3
 
 
+def exact_scores(rows, spark):
+    """The scores with levels of exact counts of all training documents, and the weights the operator fitted."""
+    model = {}
+    fit = lm.fit_weights
+    lm.fit_weights = lambda r: model.setdefault("w", fit(r))
+    try:
+        got = {r.doc_id: r.score for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    finally:
+        lm.fit_weights = fit
+    tok = lambda t: [w for w in t.encode().lower().split()] + [None]
+    train = [tok(t) for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 7 != lm.HELD]
+    c = collections.Counter(w for t in train for w in t)
+    pairs = collections.Counter(p for t in train for p in zip([0, *t[:-1]], t, strict=True))
+    n, v = sum(c.values()), len(c)
+    mean = lambda k: float(lm.mean_count(np.array([k.bit_length() - 1]), 0)[0])
+    want = {}
+    for i, t, *_ in rows:
+        want[i] = 0.0
+        for h, w in zip([0, *tok(t)[:-1]], tok(t), strict=True):
+            k = c[None] if h == 0 else c[h]
+            lam = model["w"][max(k.bit_length() - 1, 0)]
+            p = min(1.0, mean(pairs[h, w]) / mean(k)) if k else 0.0
+            want[i] += math.log10(lam * p + (1 - lam) * (mean(c[w]) + 1) / (n + v + 1))
+    return got, want
+
+
+def test_pairs_of_the_tuning_fold_are_in_the_model(spark):
+    """A phrase that only documents of the tuning fold hold; levels of the filter are exact but for false positives."""
+    fold = lambda i: zlib.crc32(str(i).encode()) % 7
+    only = [i for i in range(1000, 1400) if fold(i) == lm.TUNING][:20]
+    rows = texts(300) + [(i, "w1 w250 w3 w260 w5 w270", 0.0, 1) for i in only]
+    got, want = exact_scores(rows, spark)
+    off = np.array([abs(got[i] - want[i]) / max(1, abs(want[i])) for i in want])
+    assert np.median(off) < 0.005 and max(off[-20:]) < 0.05
+
+
+def test_pairs_seen_once_stay(spark):
+    """Nearly every pair occurs once; all of them are in the filter."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"u{k}" for k in rng.integers(0, 40_000, 150)), 0.0, 1) for i in range(400)]
+    got, want = exact_scores(rows, spark)
+    assert np.median([abs(got[i] - want[i]) / abs(want[i]) for i in want]) < 0.01
+
+
 def test_a_region_keeps_every_counted_ngram():
     import pyarrow as pa
     keys = np.arange(1, 50_001, dtype=np.uint64) * np.uint64(2 ** 40)

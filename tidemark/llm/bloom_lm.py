@@ -13,7 +13,7 @@ hold about 2**22 tokens each. The levels go back to their batch.
 
 Probability. p(w | h) = l * c(h, w) / c(h) + (1 - l) * (c(w) + 1) / (N + V + 1), all counts probed; the
 weight l depends on the level of c(h) and is fitted by EM on a fold of the training documents, with a
-second filter that lacks the word pairs of that fold.
+second filter that lacks the word pairs of that fold. The scores use the pairs of all training documents.
 Levels stand for their mean count.
 
 The base score needs exact counts. Words of the highest levels (at most ``max_words``) are broadcast
@@ -211,7 +211,9 @@ def merger(t: pa.Table) -> pa.Table:
     if order == 2:
         rest = np.bincount(at, in_rest, len(keys)).astype(np.int64)
         rest_total = int(rest.sum())
-        rest_levels = (region_filter(order, region, keys, rest).levels(keys) + 1).astype(np.uint8)[at]
+        asked = in_train > in_rest
+        rest_levels = np.zeros(len(each), np.uint8)
+        rest_levels[asked] = region_filter(order, region, keys, rest).levels(each[asked]) + 1
     cuts = np.cumsum(sizes)[:-1]
     split = lambda x: [packed(y) for y in np.split(x, cuts)] if len(x) else [packed(x)] * len(sizes)
     held = counts > 0
@@ -337,7 +339,7 @@ class Model:
 
     def log10(self, b: Batch, word_levels: np.ndarray, pair_levels: np.ndarray) -> np.ndarray:
         """log10 probability of each text."""
-        p_pair, p_word, h_level = self.estimates(b, word_levels, pair_levels, self.rest_scale)
+        p_pair, p_word, h_level = self.estimates(b, word_levels, pair_levels)
         w = self.weights[h_level]
         return np.add.reduceat(np.log10(w * p_pair + (1 - w) * p_word), b.starts)
 
@@ -388,7 +390,7 @@ def scorer(shared, words_shared):
         for ids, row in ((rows.column("doc_ids")[k].values, x) for rows in it
                          for k, x in enumerate(rows_of(rows, ARRAYS + LEVEL_ARRAYS))):
             b = Batch(row)
-            word_levels, _, pair_levels = (unpacked(row[c], np.uint8) for c in LEVEL_ARRAYS)
+            word_levels, pair_levels, _ = (unpacked(row[c], np.uint8) for c in LEVEL_ARRAYS)
             sizes, starts, u, inv = b.sizes, b.starts, b.words, b.token
             at = np.minimum(np.searchsorted(known, u), max(0, len(known) - 1))
             held = known[at] == u if len(known) else np.zeros(len(u), bool)
