@@ -75,3 +75,12 @@ def test_noisy_or_gradient():
         d[k] = 1e-6
         assert abs((loss(z + d) - loss(z - d)) / 2e-6 - grad[k]) < 1e-6
     assert mil.evidence(np.array([mil.BASE, mil.BASE - 5])).tolist() == [0.0, 0.0]
+
+
+def test_foreign_labels_and_repeated_ids_take_no_place_in_the_sample(spark):
+    docs, labels = made(90)
+    again = next(i for i, *_ in docs if i % 3 and zlib.crc32(str(i).encode()) % 5)
+    many = docs + [docs[again]] * 3000
+    foreign = [(10_000 + i, 1, i % 2) for i in range(4000)]
+    want = mil.fit(docs_df(spark, docs), labels_df(spark, labels), 100)
+    assert want and mil.fit(docs_df(spark, many), labels_df(spark, labels + foreign), 100) == want

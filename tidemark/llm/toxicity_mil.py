@@ -149,6 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int) -> dict[int, float]:
     """Weights from the labelled documents outside the held-out fold; at most max_train of each class."""
     known = (labels.where(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), FOLDS) != 0))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
+    # One text a document, before anything is drawn: labels without a document and repeated ids take no place.
+    present = docs.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("hash"))
+    known = known.join(present, "doc_id")
     total = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     if not total.get(1):
         return {}
@@ -156,10 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int) -> dict[int, float]:
     for y in (0, 1):
         part = known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
         drawn = part if drawn is None else drawn.unionByName(part)
-    one = docs.select("doc_id", "text").join(drawn, "doc_id")
-    # A repeated id may bring more rows than were drawn; the bound holds for rows, too.
-    rows = one.select("label", "text").limit(2 * max_train).mapInArrow(
-        featurise, "label int, ids array<int>, lens array<int>").toArrow()
+    one = (docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").join(drawn, ["doc_id", "hash"])
+           .groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("label", F.xxhash64("doc_id"), "doc_id"))
+    rows = one.select("label", "text").mapInArrow(featurise, "label int, ids array<int>, lens array<int>").toArrow()
     y = rows.column("label").to_numpy()
     if not (y == 1).any():
         return {}
