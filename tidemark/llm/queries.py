@@ -13,7 +13,10 @@ from tidemark.llm import (
     langid_bitmask,
     mixing,
     nra_topk,
+    piecewise_hash,
     secret_scan,
+    spelling_variants,
+    token_alignment,
     toxicity_mil,
     url_lm,
     warc_zip,
@@ -62,11 +65,24 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise_hash.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.compare_tokenizers(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_language_model, op2_nra_top_k, op3_toxicity_mil, op4_bloom_language_model, op5_secret_ownership,
         op6_language_bitmasks, op7_warc_zip, op8_hamming_near_dedup, op9_seeded_decontamination, op10_mix_sources,
+        op11_piecewise_hash, op12_token_alignment, op13_spelling_variants,
     )
 }
 SQL: dict[str, str] = {
