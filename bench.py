@@ -37,7 +37,10 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts, app_name="tidemark-bench")
     load_all()
 
+    from tidemark.plans.q_models import forget_shared
+
     def run(name: str) -> float:
+        forget_shared()
         t0 = time.perf_counter()
         spark_query(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
