@@ -30,20 +30,24 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import batches_of, materialise
 
 TOKENIZER_DIR = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 STRETCH = 1 << 18  # characters of one text that are encoded at a time
-BATCH_CHARS = 1 << 21  # characters that are encoded and merged together
-LANE_BYTES = 2048
-CACHE = 200_000
+BATCH_CHARS = 1 << 19  # characters that are encoded and merged together
+LANE_BYTES = 1024
+CACHE = 100_000
+ROWS = 512  # rows that are worked on together
+AT_ONCE = 1024  # pieces that are encoded together
 MAX_BROADCAST_PAIRS = 8_000_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE = "▁"
@@ -80,24 +84,55 @@ class Tokenizers:
         assert not any(SPACE in p.lstrip(SPACE) for p in pieces), "a piece goes on over a space"
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(SPACE, " ").encode()
                         for k, p in enumerate(pieces)]
-        self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_len, self.b_len = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
+        self.b_flat = np.frombuffer(b"".join(self.b_bytes), np.uint8)
+        self.b_at = np.cumsum(self.b_len) - self.b_len
         self.a_text, self.b_text = (number_table(len(x)) for x in (self.a_bytes, self.b_bytes))
-        self.known: dict[str, tuple[np.ndarray, np.ndarray] | None] = {}
+        self.forget()
 
-    def encode(self, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of A and B for each piece; None where the joined bytes differ from space + piece."""
+    def forget(self) -> None:
+        """The remembered pieces: their numbers, the ids of all of them one after the other, and where each starts."""
+        self.known: dict[str, int] = {}
+        self.ids = [np.empty(0, np.int32), np.empty(0, np.int32)]
+        self.at = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.valid = np.empty(0, bool)
+
+    def encode(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of distinct pieces; ``ids``, ``at`` and ``valid`` hold what is known of them."""
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.forget()
         new = [p for p in pieces if p not in self.known]
-        if new:
-            in_a = self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
-            in_b = self.b.encode(new, num_threads=1)
-            for p, x, y in zip(new, in_a, in_b, strict=True):
-                x, want = x.ids, (" " + p).encode()
-                same = (b"".join([self.a_bytes[k] for k in x]) == want and b"".join([self.b_bytes[k] for k in y]) == want)
-                self.known[p] = (np.array(x, np.int32), np.array(y, np.int32)) if same else None
-        return [self.known[p] for p in pieces]
+        for i in range(0, len(new), AT_ONCE):
+            self.learn(new[i:i + AT_ONCE])
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+
+    def learn(self, new: list[str]) -> None:
+        want = (" " + " ".join(new)).encode()
+        size = np.array([len(p.encode()) + 1 for p in new], np.int64)
+        # A gives every byte back, so the joined pieces are encoded at once and told apart by their byte ends
+        ids_a = np.array(self.a.encode_batch_fast([want.decode()], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.cumsum(self.a_len[ids_a])
+        stop_a = np.searchsorted(ends, np.cumsum(size)) + 1
+        coded = self.b.encode(new, num_threads=1)
+        n_b = np.fromiter(map(len, coded), np.int64, len(coded))
+        ids_b = np.fromiter(chain.from_iterable(coded), np.int32, int(n_b.sum()))
+        stop_b = np.cumsum(n_b)
+        # B does not: its bytes are compared with the piece's
+        per_token = self.b_len[ids_b]
+        got_size = np.diff(np.concatenate([[0], np.cumsum(per_token)])[np.concatenate([[0], stop_b])])
+        ok = got_size == size
+        token_ok = np.repeat(ok, n_b)
+        some, length = ids_b[token_ok], per_token[token_ok]
+        got = self.b_flat[np.repeat(self.b_at[some] - (np.cumsum(length) - length), length) + np.arange(length.sum())]
+        expected = np.frombuffer(want, np.uint8)[np.repeat(ok, size)]
+        owner = np.repeat(np.flatnonzero(ok), size[ok])
+        ok[owner[got != expected]] = False
+        first = len(self.valid)
+        self.known.update(zip(new, range(first, first + len(new)), strict=True))
+        self.valid = np.concatenate([self.valid, ok])
+        for side, ids, stop in ((0, ids_a, stop_a), (1, ids_b, stop_b)):
+            self.at[side] = np.concatenate([self.at[side], stop + len(self.ids[side])])
+            self.ids[side] = np.concatenate([self.ids[side], ids])
 
     def possible_pairs(self) -> int:
         """How many (A id, B id) exist of which one's bytes end with the other's."""
@@ -231,28 +266,22 @@ def align(t: Tokenizers, parts: list[Stretch], docs: dict[int, Document]) -> Non
     flat = [p for s in parts for p in s.pieces]
     coded = pa.array(flat, pa.string()).dictionary_encode()
     word = coded.indices.to_numpy()
-    ids = t.encode(coded.dictionary.to_pylist())
-    none = np.empty(0, np.int32)
-    bad = np.array([x is None for x in ids], bool)
-    n_pieces = np.array([len(s.pieces) for s in parts], np.int64)
-    part_of = np.repeat(np.arange(len(parts)), n_pieces)
+    number = t.encode(coded.dictionary.to_pylist())[word]
+    part_of = np.repeat(np.arange(len(parts)), np.array([len(s.pieces) for s in parts], np.int64))
     broken = np.zeros(len(parts), bool)
-    broken[part_of[bad[word]]] = True
+    broken[part_of[~t.valid[number]]] = True
     for k in np.flatnonzero(broken):
         docs[parts[k].doc].valid = False
     keep = ~broken[part_of]
-    word, part_of = word[keep], part_of[keep]
-    if not len(word):
+    number, part_of = number[keep], part_of[keep]
+    if not len(number):
         return
     sides = []
     for side, length in ((0, t.a_len), (1, t.b_len)):
-        of_word = [x[side] if x is not None else none for x in ids]
-        size = np.array([len(x) for x in of_word], np.int64)
-        first = np.concatenate([[0], np.cumsum(size)])
-        every = np.concatenate(of_word) if of_word else none
-        n = size[word]
+        first = t.at[side][number]
+        n = t.at[side][number + 1] - first
         start = np.concatenate([[0], np.cumsum(n)])
-        tokens = every[np.repeat(first[word] - start[:-1], n) + np.arange(start[-1])]
+        tokens = t.ids[side][np.repeat(first - start[:-1], n) + np.arange(start[-1])]
         sides.append((tokens, start, np.concatenate([[0], np.cumsum(length[tokens])])))
     # a new lane at each part and wherever LANE_BYTES more bytes of a part have passed; piece starts are cuts of both
     byte_at = sides[0][2][sides[0][1][:-1]]
@@ -284,8 +313,8 @@ def aligner(folder: str):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = load(folder)
         for whole in it:
-            for i in range(0, whole.num_rows, 1024):
-                b = whole.slice(i, 1024)
+            for i in range(0, whole.num_rows, ROWS):
+                b = whole.slice(i, ROWS)
                 texts = b.column(1).to_pylist()
                 docs = {d: Document() for d, x in enumerate(texts) if x}
                 held: list[Stretch] = []
@@ -319,7 +348,7 @@ def encode_and_align(docs: DataFrame, folder: str = TOKENIZER_DIR) -> DataFrame:
 
 
 def pair_counter(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in it:
+    for b in batches_of(it, 8 * ROWS):
         pair, n = np.unique(b.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
@@ -332,9 +361,9 @@ def link_counts(aligned: DataFrame) -> DataFrame:
 def summer(table):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, counts, best = table.value
-        for b in it:
+        for b in batches_of(it, ROWS):
             links = b.column(4)
-            n = np.diff(links.offsets.to_numpy())
+            n = pc.list_value_length(links).to_numpy().astype(np.int64)
             at = np.searchsorted(pairs, links.flatten().to_numpy(zero_copy_only=False))
             ends = np.concatenate([[0], np.cumsum(n)])
             sums = [np.concatenate([[0], np.cumsum(x[at], dtype=np.int64)]) for x in (best, counts)]
