@@ -43,11 +43,11 @@ from tidemark.llm.common import batches_of, materialise
 TOKENIZER_DIR = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 STRETCH = 1 << 18  # characters of one text that are encoded at a time
-BATCH_CHARS = 1 << 19  # characters that are encoded and merged together
+BATCH_CHARS = 1 << 18  # characters that are encoded and merged together
 LANE_BYTES = 1024
-CACHE = 100_000
+CACHE = 160_000
 ROWS = 512  # rows that are worked on together
-AT_ONCE = 1024  # pieces that are encoded together
+AT_ONCE = 4096  # pieces that are encoded together
 MAX_BROADCAST_PAIRS = 8_000_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE = "▁"
