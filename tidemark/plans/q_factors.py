@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import analysts as AN
+from tidemark.operators import daystate as DS
 from tidemark.operators import fundamentals as FU
 from tidemark.operators import insiders as IN
 from tidemark.operators import prep as PR
@@ -20,15 +23,17 @@ from tidemark.plans.oracle_parts import (
     insider_panel_ctes, pod_risk_pairs,
 )
 from tidemark.plans.sqlkit import r6
+from tidemark.session import scratch_path
+from tidemark.sources import lake
 from tidemark.sources.tables import Tables, oracle_with
 
 PRICE_OUT = list(PRICE_FACTORS) + RISK_FACTORS + ["log_market_cap"]
 FUND_OUT = list(FUNDAMENTAL_FACTORS)
 # Fixed value: liquidity floor of the registered K-05 query (fixture dollar volumes are ~1e5).
 FIXTURE_LIQUIDITY_FLOOR = 100_000
-# Fixed value: the as-of day of the incremental run (K-07) and its lookback rows.
+# Fixed value: the reported day of the incremental run (K-07) and the days its store is advanced.
 INCREMENTAL_DAY = "1998-06-30"
-LOOKBACK_ROWS = 650
+INCREMENTAL_STEPS = 5
 # Two engines that sum a constant cross-section in different orders disagree on whether its std is 0;
 # the compared queries call anything below this share of |mean| constant.
 ENGINE_NOISE = 1e-10
@@ -180,21 +185,35 @@ def k05_liquidity_filter(t):
     return PR.liquidity_filter(price_factor_frame(t), FIXTURE_LIQUIDITY_FLOOR).select("permno", "date", "avg_dollar_volume_20d", "ret_1m")
 
 
+def day_feeds(t: Tables) -> DS.Feeds:
+    """The feeds of the daily run as month-partitioned tables, so that a step reads the folders of its days."""
+    def stored(df, name, date_col):
+        return lake.read_partitioned(t.spark, lake.write_partitioned(df, t.spark, name, date_col))
+
+    events = AN.latest_period(AN.earnings_events(FU.announcements(t["fundq"], t["ccm_link"]), t["ibes_detail"]))
+    return DS.Feeds(
+        bars=stored(t["bars"], "feed-bars", "date"), market=t["raw_dsi"],
+        fund=stored(FU.linked_quarters(t["fundq"], t["ccm_link"]), "feed-fund", "eff"),
+        events=stored(events, "feed-events", "earnings_date"),
+        flows=stored(IN.daily_insider(t["form4"]), "feed-flows", "date"))
+
+
 @query("k07_incremental_day", f"""
-{oracle_with('bars', 'raw_dsi')},
-{ctes(pod_risk_pairs(5) + [PF_CTE])}
-SELECT permno, date, {_r(PRICE_OUT)} FROM pf WHERE date = DATE '{INCREMENTAL_DAY}'
+{PANEL_WITH}
+SELECT permno, date, {_r(FACTOR_NAMES)} FROM panel WHERE date = DATE '{INCREMENTAL_DAY}'
 """)
 def k07_incremental_day(t):
-    """K-07: one day's price factors from each security's last 650 trading rows only."""
-    day = F.lit(INCREMENTAL_DAY).cast("date")
-    w = Window.partitionBy("permno").orderBy(F.col("date").desc())
-    recent = t["bars"].filter(F.col("date") <= day).withColumn("_k", F.row_number().over(w))
-    recent = recent.filter(F.col("_k") <= LOOKBACK_ROWS).drop("_k")
-    # securities without a bar on the day have no factor row for it
-    on_day = t["bars"].filter(F.col("date") == day).select("permno")
-    recent = recent.join(on_day, "permno", "left_semi")
-    return price_factor_frame(t, recent).filter(F.col("date") == day).select("permno", "date", *PRICE_OUT)
+    """K-07: one day's 34 factors from the stored state of the day before and the day's feeds.
+
+    The store starts from history five calendar days earlier and is advanced day by day to the reported one.
+    """
+    feeds, path = day_feeds(t), scratch_path(t.spark, "day-state")
+    last = dt.date.fromisoformat(INCREMENTAL_DAY)
+    days = [last - dt.timedelta(days=n) for n in range(INCREMENTAL_STEPS, -1, -1)]
+    DS.write_day(DS.initial_state(feeds, days[0]), path, days[0])
+    for as_of, day in zip(days, days[1:]):
+        DS.run_day(t.spark, path, feeds, as_of, day)
+    return DS.read_panel(t.spark, path, last)
 
 
 @query("e15_rank_top100", f"""
