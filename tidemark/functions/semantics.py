@@ -141,8 +141,17 @@ def round_doubles(df, digits: int = 6):
 # ---------------------------------------------------------------------------
 
 
+def finite(x: Column) -> Column:
+    """Neither NaN nor infinite (NULL stays NULL)."""
+    return F.abs(x) < F.lit(float("inf"))
+
+
 class Prefix:
-    """Running sums of a column (and of its square / product with a partner)."""
+    """Running sums of a column (and of its square / product with a partner).
+
+    NaN and infinite values would stay in a running sum for good, so the sums leave them out and a
+    running count of them makes NaN of the windows that hold one, and of no other.
+    """
 
     def __init__(self, w: WindowSpec, centers: dict[str, str] | None = None):
         """``centers`` maps a column to a per-partition constant column used as its centre
@@ -164,24 +173,26 @@ class Prefix:
         """x minus its centre K (a constant per partition, else 0): same variance, and the
         differences of running sums keep their precision."""
         k = F.col(self.center_of[x]).cast("double") if x in self.center_of else F.lit(0.0)
-        self.centers.setdefault(f"_pk_{x}", k)
+        self.centers.setdefault(f"_pk_{x}", F.when(finite(k), k).otherwise(F.lit(0.0)))
+        self._add(f"_pn_{x}", (~finite(F.col(x).cast("double"))).cast("long"))
         return F.col(x).cast("double") - F.col(f"_pk_{x}")
 
     def s1(self, x: str) -> str:
-        return self._add(f"_p1_{x}", F.coalesce(self._centered(x), F.lit(0.0)))
+        d = self._centered(x)
+        return self._add(f"_p1_{x}", F.when(finite(d), d).otherwise(F.lit(0.0)))
 
     def s2(self, x: str) -> str:
         d = self._centered(x)
-        return self._add(f"_p2_{x}", F.coalesce(d * d, F.lit(0.0)))
+        return self._add(f"_p2_{x}", F.when(finite(d), d * d).otherwise(F.lit(0.0)))
 
-    def pair(self, y: str, x: str) -> tuple[str, str, str, str, str]:
-        both = F.col(y).isNotNull() & F.col(x).isNotNull()
+    def pair(self, y: str, x: str) -> None:
+        yc, xc = F.col(y).cast("double"), F.col(x).cast("double")
+        both, sound = yc.isNotNull() & xc.isNotNull(), finite(yc) & finite(xc)
         k = f"{y}_{x}"
-        return (self._add(f"_qn_{k}", both.cast("long")),
-                self._add(f"_qx_{k}", F.when(both, F.col(x)).otherwise(F.lit(0.0))),
-                self._add(f"_qy_{k}", F.when(both, F.col(y)).otherwise(F.lit(0.0))),
-                self._add(f"_qxx_{k}", F.when(both, F.col(x) * F.col(x)).otherwise(F.lit(0.0))),
-                self._add(f"_qxy_{k}", F.when(both, F.col(x) * F.col(y)).otherwise(F.lit(0.0))))
+        self._add(f"_qn_{k}", both.cast("long"))
+        self._add(f"_qb_{k}", (both & ~sound).cast("long"))
+        for name, value in (("_qx_", xc), ("_qy_", yc), ("_qxx_", xc * xc), ("_qxy_", xc * yc)):
+            self._add(name + k, F.when(sound, value).otherwise(F.lit(0.0)))
 
     def apply(self, df):
         if self.centers:
@@ -195,28 +206,35 @@ def _window_diff(w: WindowSpec, name: str, n: int) -> Column:
     return F.col(name) - F.coalesce(F.lag(F.col(name), n).over(w), F.lit(0))
 
 
+def _held(w: WindowSpec, name: str, n: int) -> Column:
+    """Whether the last ``n`` rows hold a NaN or infinite value; a running count that has met only NULLs is NULL."""
+    return F.coalesce(_window_diff(w, name, n), F.lit(0)) > 0
+
+
 def roll_count(w: WindowSpec, x: str, n: int) -> Column:
     return _window_diff(w, f"_pc_{x}", n)
 
 
 def roll_mean(w: WindowSpec, x: str, n: int, min_periods: int | None = None) -> Column:
     c = roll_count(w, x, n)
+    mean = F.col(f"_pk_{x}") + ratio(_window_diff(w, f"_p1_{x}", n), c)
     return F.when(c >= (n if min_periods is None else min_periods),
-                  F.col(f"_pk_{x}") + _window_diff(w, f"_p1_{x}", n) / c)
+                  F.when(_held(w, f"_pn_{x}", n), F.lit(float("nan"))).otherwise(mean))
 
 
 def roll_sum(w: WindowSpec, x: str, n: int, min_periods: int | None = None) -> Column:
     c = roll_count(w, x, n)
+    total = _window_diff(w, f"_p1_{x}", n) + F.col(f"_pk_{x}") * c
     return F.when(c >= (n if min_periods is None else min_periods),
-                  _window_diff(w, f"_p1_{x}", n) + F.col(f"_pk_{x}") * c)
+                  F.when(_held(w, f"_pn_{x}", n), F.lit(float("nan"))).otherwise(total))
 
 
 def roll_var(w: WindowSpec, x: str, n: int, min_periods: int | None = None) -> Column:
     c = roll_count(w, x, n)
     s1, s2 = _window_diff(w, f"_p1_{x}", n), _window_diff(w, f"_p2_{x}", n)
-    var = F.greatest((s2 - s1 * s1 / c) / (c - 1), F.lit(0.0))
+    var = F.greatest(ratio(s2 - s1 * ratio(s1, c), c - 1), F.lit(0.0))
     need = n if min_periods is None else min_periods
-    return F.when((c >= need) & (c >= 2), var)
+    return F.when((c >= need) & (c >= 2), F.when(_held(w, f"_pn_{x}", n), F.lit(float("nan"))).otherwise(var))
 
 
 def roll_std(w: WindowSpec, x: str, n: int, min_periods: int | None = None) -> Column:
@@ -229,7 +247,8 @@ def roll_slope(w: WindowSpec, y: str, x: str, n: int) -> tuple[Column, Column]:
     cnt = _window_diff(w, f"_qn_{k}", n)
     sx, sy = _window_diff(w, f"_qx_{k}", n), _window_diff(w, f"_qy_{k}", n)
     sxx, sxy = _window_diff(w, f"_qxx_{k}", n), _window_diff(w, f"_qxy_{k}", n)
-    return cnt, F.try_divide(sxy - sx * sy / cnt, sxx - sx * sx / cnt)
+    slope = ratio(sxy - sx * ratio(sy, cnt), sxx - sx * ratio(sx, cnt))
+    return cnt, F.when(_held(w, f"_qb_{k}", n), F.lit(float("nan"))).otherwise(slope)
 
 
 BLOCK = 16

@@ -126,7 +126,7 @@ def pass2(df: DataFrame) -> DataFrame:
 
 
 def _drop_prefix(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(("_pc_", "_p1_", "_p2_", "_pk_", "_q"))])
+    return df.drop(*[c for c in df.columns if c.startswith(("_pc_", "_p1_", "_p2_", "_pk_", "_pn_", "_q"))])
 
 
 def pass3(df: DataFrame) -> DataFrame:
