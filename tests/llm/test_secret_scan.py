@@ -41,6 +41,32 @@ def test_base_spans_against_re(spark):
         assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
 
 
+def test_very_many_matches_in_one_text(spark):
+    """More matches than a block holds, generic tokens apart from and inside base spans."""
+    parts = []
+    for i in range(6000):
+        own = f"{i:05d}aB" + "Q" * 30
+        parts.append([f"{i * 7919:032x}", own, f"token={own}", f"AKIA{i:020d}"][i % 4])
+    text = "\n".join(parts)
+    base = brute(text)
+    free = []
+    taken = [(a, b) for a, _, _, b in base]
+    at = 0
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{32,}", text):
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        if re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0]) and not (
+                at < len(taken) and taken[at][0] < m.end()):
+            free.append((m.start(), 3, "generic", m.end()))
+    assert len(base) == 4500 and len(free) == 1500
+    rows = ss.scan(df(spark, [text])).collect()
+    assert rows[0].spans == ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(base + free))
+    for n in (1, ss.BLOCK - 1, ss.BLOCK, ss.BLOCK + 1, 2 * ss.BLOCK):
+        short = "x".join(["AKIA" + "A1" * 8 + "."] * n)
+        want = ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute(short))
+        assert ss.scan(df(spark, [short])).collect()[0].spans == want
+
+
 def test_owner_specific_and_widely_copied(spark):
     texts = [f"own {KEY}q"] + [f"sample {KEY} and token=examplekey"] * 4
     got = {r.doc_id: r for r in ss.scan(df(spark, texts, ["a", "a", "b", "c", None])).collect()}

@@ -5,7 +5,8 @@ are aligned, and running lengths give the offsets. Every candidate's value is ha
 the whole corpus by the distinct owners (``owner``) and repositories (``repo``) it appears in. A value
 of at most ``max_owners`` owners is owner-specific and looks live; one that more owners hold is a
 widely copied example. The method's own candidates (long mixed-case tokens with digits that no base
-pattern touches) become spans only when they are owner-specific; base spans always stay.
+pattern touches) become spans only when they are owner-specific; base spans always stay. A text's spans are put together in blocks, so a text of very many
+matches costs little more a match than a short one.
 
 Frequencies are two partial aggregates, so a value that a third of all documents hold is summed before
 it is shuffled; only spans, never texts, are written and joined.
@@ -32,6 +33,21 @@ GENERIC = r"[A-Za-z0-9+/_=-]{32,}"
 LEAST_ASSIGN = 6
 KINDS = ["assign", "access", "hex", "generic"]  # by rank
 MARK = "[SECRET]"
+BLOCK = 256  # spans of one text that are put together at a time
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def blocks(items: Column) -> Column:
+    """``items`` cut into arrays of ``BLOCK``, so that appending copies a block and not all of a long text's spans."""
+    def cut(xs: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(1), F.size(xs) + 1, F.lit(BLOCK)), lambda i: i <= F.size(xs))
+        return F.transform(firsts, lambda i: F.slice(xs, i, F.lit(BLOCK)))
+
+    return let(items, cut)
 
 
 def matches(text: Column, pattern: str, value_group: int, rank: int) -> Column:
@@ -41,7 +57,6 @@ def matches(text: Column, pattern: str, value_group: int, rank: int) -> Column:
     between = F.transform(F.split(text, pattern, -1), F.length)
     steps = F.arrays_zip(whole.alias("w"), value.alias("v"), F.slice(between, 1, F.size(whole)).alias("b"))
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,value:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["b"]
@@ -49,7 +64,14 @@ def matches(text: Column, pattern: str, value_group: int, rank: int) -> Column:
         one = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["v"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    found = F.aggregate(steps, start, step, lambda acc: acc["out"])
+    def block(acc: Column, xs: Column) -> Column:
+        """One block after the others: its spans grow an array of their own, kept as one element."""
+        inner = F.aggregate(xs, F.struct(acc["at"].alias("at"), empty.alias("out")), step)
+        return let(inner, lambda done: F.struct(
+            done["at"].alias("at"), F.concat(acc["out"], F.array(done["out"])).alias("out")))
+
+    start = F.struct(F.lit(0).alias("at"), F.array(empty).alias("out"))
+    found = F.aggregate(blocks(steps), start, block, lambda acc: F.flatten(acc["out"]))
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
@@ -59,10 +81,17 @@ def base_spans(text: Column) -> Column:
 
 
 def extra_candidates(text: Column, base: Column) -> Column:
-    """Long tokens with a small and a capital letter and a digit that touch no base span."""
-    return F.filter(matches(text, GENERIC, 0, 3), lambda s: (
+    """Long tokens with a small and a capital letter and a digit that touch no base span. ``base`` is sorted by
+    start; its blocks are left out by their bounds before their spans are compared."""
+    bounds = F.transform(blocks(base), lambda b: F.struct(
+        F.element_at(b, 1)["start"].alias("start"), F.array_max(F.transform(b, lambda s: s["end"])).alias("end"), b.alias("spans")))
+
+    def touches(s: Column, other: Column) -> Column:
+        return (other["start"] < s["end"]) & (s["start"] < other["end"])
+
+    return let(bounds, lambda held: F.filter(matches(text, GENERIC, 0, 3), lambda s: (
         s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]") & s["value"].rlike("[0-9]")
-        & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+        & ~F.exists(held, lambda r: touches(s, r) & F.exists(r["spans"], lambda b: touches(s, b))))))
 
 
 def hashed(spans: Column) -> Column:
