@@ -98,7 +98,7 @@ def extreme_of(values: Column, n: int, agg) -> Column:
 
 def quantile_of(values: Column, n: int, p: float) -> Column:
     """Linear-interpolated quantile of the last ``n`` values; NULL unless all are there."""
-    full = F.array_sort(F.array_compact(tail(values, n)))
+    full = F.sort_array(F.array_compact(tail(values, n)))
     lo = int(p * (n - 1))
     a, b = F.try_element_at(full, F.lit(lo + 1)), F.try_element_at(full, F.lit(min(lo + 2, n)))
     return F.when(F.size(full) == n, a + (p * (n - 1) - lo) * (b - a))
