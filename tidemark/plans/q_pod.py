@@ -80,5 +80,5 @@ def h_pod_adjusted(t):
     """B-19, H: the pod over prices, volume and shares adjusted for splits as known on each day; the copy with the
     highest volume of each day of the raw file."""
     raw = normalise_dsf(t["raw_dsf"])
-    bars = raw.groupBy("permno", "date").agg(*[first_in_order(c) for c in RAW_BARS])
+    bars = raw.groupBy("permno", "date").agg(first_in_order(RAW_BARS)).select("permno", "date", "_first.*")
     return build_pod(adjust_from_start(bars), upto=5).select("permno", "date", *ADJUSTED_OUT)
