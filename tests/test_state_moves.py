@@ -1,0 +1,137 @@
+"""K-07: a step moves the day's feeds to the buckets of the store and no ring; the store starts from one dealing of the bars."""
+
+import datetime as dt
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import daystate as DS
+from tidemark.operators import pod as P
+from tidemark.operators.factors import FACTOR_NAMES
+from tidemark.operators.fundamentals import FUND_VALUES
+from tidemark.session import scratch_path
+from tidemark.sources import lake
+from tidemark.sources.tables import build_bars
+
+DAY = dt.date(2001, 3, 1)
+BARS = "permno long, date date, open double, high double, low double, close double, volume long, shares_outstanding long"
+FUND = "permno long, eff date, datadate date, " + ", ".join(f"{v} double" for v in FUND_VALUES)
+EVENTS = "permno long, earnings_date date, fpedats date, " + ", ".join(f"{v} double" for v in DS.EVENT_VALUES)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def above(text, name):
+    """The steps of a plan that the scan of ``name`` feeds."""
+    lines = [(len(re.match(r"[\s:+\-]*", line).group()), line) for line in text.splitlines()]
+    k = next(i for i, (_, line) in enumerate(lines) if "FileScan" in line and name in line)
+    depth, out = lines[k][0], []
+    for at, line in reversed(lines[:k]):
+        if at < depth:
+            depth, out = at, [*out, line[at:].split(" ")[0]]
+    return out
+
+
+def series(permno, days, seed):
+    rng, price, out = random.Random(seed), 100.0, []
+    for day in days:
+        price *= 1 + rng.gauss(0, 0.02)
+        out.append((permno, day, price * 0.99, price * 1.02, price * 0.97, price, rng.randint(1000, 9000), 10_000))
+    return out
+
+
+@pytest.fixture(scope="module")
+def store(spark):
+    """Securities 1 and 2, and the NULL one with the prices and facts of 1."""
+    days = [DAY - dt.timedelta(days=n) for n in range(300, -3, -1)]
+    bars = series(1, days, 1) + series(2, days, 2) + [(None, *r[1:]) for r in series(1, days, 1)]
+    facts = [(p, DAY, DAY, *[float(i + 1) for i in range(len(FUND_VALUES))]) for p in (1, None)]
+    rng = random.Random(9)
+    feeds = DS.Feeds(
+        bars=lake.read_partitioned(spark, lake.write_partitioned(spark.createDataFrame(bars, BARS), spark, "m-bars")),
+        market=spark.createDataFrame([(d, rng.gauss(0, 0.01)) for d in days], "date date, vwretd double"),
+        fund=spark.createDataFrame(facts, FUND), events=spark.createDataFrame([], EVENTS),
+        flows=spark.createDataFrame([(None, DAY, 4.0, 2.0), (1, DAY, 4.0, 2.0)], "permno long, date date, bought double, sold double"))
+    path = scratch_path(spark, "m-state")
+    DS.write_day(DS.initial_state(feeds, DAY - dt.timedelta(days=1)), path, DAY - dt.timedelta(days=1))
+    DS.run_day(spark, path, feeds, DAY - dt.timedelta(days=1), DAY)
+    return feeds, path, DAY, DAY + dt.timedelta(days=1)
+
+
+def rows_of(spark, path, day):
+    return sorted((tuple(r) for r in DS.read_panel(spark, path, day).collect()), key=lambda r: (r[0] is None, r[0]))
+
+
+def test_a_step_moves_no_ring(spark, store):
+    feeds, path, day, following = store
+    physical = plan(DS.advance(DS.read_state(spark, path, day), feeds, day, following))
+    assert "Bucketed: true" in physical and "ring" in physical
+    assert "SortMergeJoin" in above(physical, "day_state") and "Exchange" not in above(physical, "day_state")
+    assert "Exchange" in above(physical, "m-bars")
+
+
+def test_the_null_security_is_one_row(spark, store):
+    feeds, path, day, following = store
+    DS.run_day(spark, path, feeds, day, following)
+    rows = rows_of(spark, path, following)
+    assert [r[0] for r in rows] == [1, 2, None]
+    at = 2 + FACTOR_NAMES.index("insider_buy_sell_ratio")
+    assert rows[2][at] == rows[0][at] == 2.0
+    at = 2 + FACTOR_NAMES.index("gross_profitability")
+    assert rows[2][at] == rows[0][at] is not None
+
+
+def test_a_store_of_another_session_gives_the_same_rows(spark, store):
+    feeds, path, day, following = store
+    DS.run_day(spark, path, feeds, day, following)
+    before = rows_of(spark, path, following)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:  # the day again in another number of buckets, then a folder of which no table is known
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        DS.run_day(spark, path, feeds, day - dt.timedelta(days=1), day)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        DS.run_day(spark, path, feeds, day, following)
+        assert rows_of(spark, path, following) == before
+        spark.sql(f"DROP TABLE {DS.table_of(path, day, 3)}")
+        assert "Bucketed: true" not in plan(DS.read_state(spark, path, day))
+        DS.run_day(spark, path, feeds, day, following)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert rows_of(spark, path, following) == before
+
+
+def test_the_ring_holds_what_nothing_else_gives(spark, store):
+    _, path, day, _ = store
+    row = spark.read.parquet(DS.folder(path, day)).filter("permno = 1").first()
+    assert set(row["ring"][0].asDict()) == {"close", "high", "r_market"} and len(row["ring"]) == 252
+    assert len(row["dvs"]) == 20 and len(row["drawdowns"]) == 60
+
+
+def test_recent_rows_are_dealt_once(spark, store):
+    feeds, *_ = store
+    cols = ["permno", "date", "r", "high_60", "dv", "rsi_gain", "MACD", "beta_1y"]
+    got, want = (f.select(cols) for f in (P.recent_pod(feeds.bars, 3, feeds.market), P.build_pod(feeds.bars, 3, market=feeds.market)))
+    assert plan(got).count("Exchange hashpartitioning") == 1
+
+    def values(df):
+        return sorted((tuple(None if v is None else round(v, 9) if isinstance(v, float) else str(v) for v in r) for r in df.collect()), key=str)
+
+    assert values(got) == values(want)
+
+
+def test_bars_by_month_are_the_same_bars(spark):
+    rng = random.Random(3)
+    days = [dt.date(1998, m, d) for m in (1, 2, 12) for d in (1, 15, 28)] + [None]
+    lines = [(rng.choice([1, 2, 3, None]), rng.choice(days), i // 3, i % 3, i % 7, float(rng.randint(1, 10**6)), float(i % 50)) for i in range(400)]
+    df = spark.createDataFrame(lines, "l_suppkey long, l_shipdate date, l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double, l_quantity double")
+    dealt = build_bars(df, by_month=True)
+    assert plan(dealt).count("Exchange hashpartitioning") == 1
+    rows = [sorted((str(r) for r in b.collect())) for b in (dealt, build_bars(df))]
+    assert rows[0] == rows[1] and len(rows[0]) > 30
+    paths = [lake.write_partitioned(b, spark, "m-lake", dealt=k) for b, k in ((dealt, True), (build_bars(df), False))]
+    kept = [sorted(str(r) for r in lake.read_partitioned(spark, p).collect()) for p in paths]
+    assert kept[0] == kept[1] and len(kept[0]) == len(rows[0])

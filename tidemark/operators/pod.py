@@ -218,9 +218,27 @@ def build_pod(bars: DataFrame, upto: int = 5, chunk_rows: int = DEFAULT_CHUNK_RO
         df = written(df, "pod-split")
     if upto >= 2:
         df = with_obv_before(df)
+    return run_passes(df, upto, market is not None)
+
+
+def run_passes(df: DataFrame, upto: int, risk: bool) -> DataFrame:
+    """Passes 1..``upto`` (and the risk pass) over a split frame, without its helper columns and copies."""
     steps = [pass1, pass2, pass3, pass4, pass5]
     for step in steps[:upto]:
         df = step(df)
-    if market is not None and upto >= 2:
+    if risk and upto >= 2:
         df = risk_pass(df)
-    return drop_halo(df).drop("_i", "_first_close")
+    return drop_halo(df).drop("_i", "_first_close", "_obv_before")
+
+
+def recent_pod(bars: DataFrame, upto: int, market: DataFrame) -> DataFrame:
+    """``build_pod`` of series that were cut to a bounded number of rows: each is one chunk, so rows dealt by security
+    are neither indexed by year nor written nor moved again. Other columns of ``bars`` stay; OBV, which has no bound, is
+    left out. Rows without a security are dropped, as there."""
+    w = Window.partitionBy(KEY).orderBy("date")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = bars.filter(F.col(KEY).isNotNull())
+    df = df.withColumns({"_i": F.row_number().over(w) - 1, "_first_close": F.first("close", ignorenulls=True).over(whole)})
+    df = df.withColumns({"_p": F.col("_i"), "_chunk": F.lit(0).cast("long"), "_last_chunk": F.lit(0).cast("long"),
+                         "_halo": F.lit(False), "_obv_before": F.lit(None).cast("double")})
+    return run_passes(with_market(df, market), upto, True).drop("OBV")

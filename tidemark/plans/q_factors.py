@@ -25,7 +25,7 @@ from tidemark.plans.oracle_parts import (
 from tidemark.plans.sqlkit import r6
 from tidemark.session import scratch_path
 from tidemark.sources import lake
-from tidemark.sources.tables import Tables, oracle_with
+from tidemark.sources.tables import Tables, build_bars, oracle_with
 
 PRICE_OUT = list(PRICE_FACTORS) + RISK_FACTORS + ["log_market_cap"]
 FUND_OUT = list(FUNDAMENTAL_FACTORS)
@@ -191,12 +191,12 @@ def k05_liquidity_filter(t):
 
 def day_feeds(t: Tables) -> DS.Feeds:
     """The feeds of the daily run as month-partitioned tables, so that a step reads the folders of its days."""
-    def stored(df, name, date_col):
-        return lake.read_partitioned(t.spark, lake.write_partitioned(df, t.spark, name, date_col))
+    def stored(df, name, date_col, dealt=False):
+        return lake.read_partitioned(t.spark, lake.write_partitioned(df, t.spark, name, date_col, dealt=dealt))
 
     events = AN.latest_period(AN.earnings_events(FU.announcements(t["fundq"], t["ccm_link"]), t["ibes_detail"]))
     return DS.Feeds(
-        bars=stored(t["bars"], "feed-bars", "date"), market=t["raw_dsi"],
+        bars=stored(build_bars(t["lineitem"], by_month=True), "feed-bars", "date", dealt=True), market=t["raw_dsi"],
         fund=stored(FU.linked_quarters(t["fundq"], t["ccm_link"]), "feed-fund", "eff"),
         events=stored(events, "feed-events", "earnings_date"),
         flows=stored(IN.daily_insider(t["form4"]), "feed-flows", "date"))

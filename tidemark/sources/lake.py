@@ -14,13 +14,14 @@ from tidemark.session import scratch_path
 
 
 def write_partitioned(df: DataFrame, spark: SparkSession, name: str, date_col: str = "date",
-                      levels: tuple[str, ...] = ("year", "month")) -> str:
-    """A-12/A-22: Hive layout ``year=/month=[/day=]`` derived from the date column."""
+                      levels: tuple[str, ...] = ("year", "month"), dealt: bool = False) -> str:
+    """A-12/A-22: Hive layout ``year=/month=[/day=]`` derived from the date column. ``dealt``: the rows already are
+    dealt by folder and are not moved for it."""
     parts = {"year": F.year(date_col), "month": F.month(date_col), "day": F.dayofmonth(date_col),
              "quarter": F.quarter(date_col)}
     out = df.withColumns({lv: parts[lv].cast("int") for lv in levels})
     path = scratch_path(spark, name)
-    rebalanced(out, levels).write.mode("overwrite").partitionBy(*levels).parquet(path)
+    (out if dealt else rebalanced(out, levels)).write.mode("overwrite").partitionBy(*levels).parquet(path)
     return path
 
 
