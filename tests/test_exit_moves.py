@@ -1,0 +1,48 @@
+"""L-12: the ranking and the event days move only the columns that they read."""
+
+import datetime as dt
+import re
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import events as EV
+from tidemark.operators.pod import build_pod
+from tidemark.plans import q_events as QE
+from tidemark.plans import q_factors as QF
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def bars(spark, rows):
+    start = dt.date(2000, 1, 3)
+    data = [(k, start + dt.timedelta(days=i), 10.0, 11.0, 9.0, 10.0 + (i * (k + 3)) % 7, 100 + i % 5, 1000) for k in (1, 2) for i in range(rows)]
+    return spark.createDataFrame(data, "permno long, date date, open double, high double, low double, close double, volume long, shares_outstanding long")
+
+
+def test_the_ranking_moves_closes_only(spark, tables_small):
+    few = QF.price_factor_frame(tables_small, few=True).select("permno", "date", "ret_12m_skip1m")
+    moved = [line for line in plan(few).splitlines() if "Exchange" in line or "FileScan" in line]
+    assert not any("pod-split" in line for line in moved)
+    assert "l_quantity" not in plan(QE._top(tables_small)) and "min_by" not in plan(few)
+    want = QF.price_factor_frame(tables_small).select("permno", "date", "ret_12m_skip1m")
+    assert few.exceptAll(want).isEmpty() and want.exceptAll(few).isEmpty() and few.filter("ret_12m_skip1m IS NOT NULL").count() > 0
+
+
+def test_a_pod_without_obv_is_the_pod(spark):
+    b = bars(spark, 700)
+    market = b.groupBy("date").agg((F.avg("close") / 1000).alias("vwretd"))
+    cols = ["permno", "date", "P_252", "SMA_20", "MACD_hist", "beta_1y"]
+    got, want = (build_pod(b, 5, 300, 290, market=market, **more) for more in ({"materialize": False, "obv": False}, {}))
+    assert set(want.columns) - set(got.columns) == {"OBV"}
+    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
+
+
+def test_event_days_move_no_other_label(spark):
+    b = bars(spark, 100)
+    ev = spark.createDataFrame([(1, dt.date(2000, 1, 1), 0.1), (2, dt.date(2000, 2, 2), -0.2), (2, dt.date(2001, 1, 1), 0.3), (3, dt.date(2000, 1, 5), 0.1)],
+                               "permno long, earnings_date date, earnings_surprise double")
+    days, full = EV.event_labels(ev, b, ["date"]), EV.event_labels(ev, b)
+    assert days.columns == [*ev.columns, "date"] and not re.search(r"drift|fwd_ret|lead\(", plan(days))
+    assert sorted(map(str, days.collect())) == sorted(map(str, full.select(days.columns).collect()))
