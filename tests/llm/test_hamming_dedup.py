@@ -121,3 +121,20 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(41)) and got[101] == 100
     assert {got[x] for x in (200, 300, 250, 299)} == {200}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_keys_and_signatures_are_not_broadcast(spark, monkeypatch):
+    """Their size is estimated far too low: whatever the threshold, they must not pass through the driver."""
+    plans = []
+
+    def written(df):
+        plans.append((set(df.columns), df._jdf.queryExecution().executedPlan().toString()))
+        return kept(df)
+
+    kept = hd.materialise
+    monkeypatch.setattr(hd, "materialise", written)
+    hd.near_duplicates(spark.createDataFrame(corpus()[:60], SCHEMA))
+    for columns in ({"key", "rep", "hub"}, {"a", "b", "far"}, {"key", "rep", "cluster", "size", "sig"}):
+        plan = next(p for c, p in plans if c == columns)
+        sent = [line for line in plan.splitlines() if "BroadcastExchange" in line]
+        assert "SortMergeJoin" in plan and not any("key#" in line or "rep#" in line for line in sent), plan

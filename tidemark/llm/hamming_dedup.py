@@ -245,11 +245,13 @@ def grouped(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
         .withColumn("rep", F.xxhash64("name", F.lit(7))))
 
-    keys = classes.select("rep", F.explode(key_array(F.col("sig"))).alias("key"))
+    # Spark sizes exploded keys like the rows they come from (HASHES times too low), a signature like one number, and
+    # copies of one signature by their compressed file: without the hints it would send these through the driver.
+    keys = classes.select("rep", F.explode(key_array(F.col("sig"))).alias("key")).hint("merge")
     shared = materialise(
         keys.join(keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"))
                   .where(F.col("hub") != F.col("top")).select("key", "hub"), "key"))
-    side = lambda n: classes.select(F.col("rep").alias(n), F.col("size").alias(f"size_{n}"), F.col("sig").alias(f"sig_{n}"))
+    side = lambda n: classes.select(F.col("rep").alias(n), F.col("size").alias(f"size_{n}"), F.col("sig").alias(f"sig_{n}")).hint("merge")
     star = shared.where(F.col("rep") != F.col("hub")).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     near = materialise(
         star.join(side("a"), "a").join(side("b"), "b").where(size_fits(F.col("size_a"), F.col("size_b")))
@@ -272,8 +274,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     part = (shared.join(clusters.withColumnRenamed("node", "rep"), "rep", "left")
             .select("key", "rep", F.coalesce("component", "rep").alias("cluster")))
     mixed = part.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo != hi").select("key")
-    open_rows = materialise(part.join(mixed, "key").join(classes.select("rep", "size", "sig"), "rep"))
-    x, y = open_rows.alias("x"), open_rows.alias("y")
+    open_rows = materialise(part.join(mixed, "key").join(classes.select("rep", "size", "sig").hint("merge"), "rep"))
+    x, y = open_rows.alias("x").hint("merge"), open_rows.alias("y")
     between = materialise(
         x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cluster") != F.col("y.cluster"))
                & (F.col("x.rep") < F.col("y.rep")) & size_fits(F.col("x.size"), F.col("y.size"))
