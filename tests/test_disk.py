@@ -26,6 +26,13 @@ def test_the_pod_moves_the_bars_once(spark):
     assert out.count("Exchange hashpartitioning") == 1 and "pod-split" not in out
 
 
+def test_rows_without_a_day_have_no_place_in_the_series(spark):
+    b = bars(spark, 40)
+    odd = b.limit(3).withColumn("date", F.lit(None).cast("date")).unionByName(b.limit(2).withColumn("permno", F.lit(None).cast("long")))
+    got, want = (P.build_pod(x, upto=2).select("permno", "date", "P_5", "OBV").collect() for x in (b.unionByName(odd), b))
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 80
+
+
 def test_the_panel_moves_narrow_rows_only(spark, tables_small):
     below = plan(QF.factor_panel(tables_small)).split("Exchange hashpartitioning(permno", 1)[1]
     assert "Union" in below and "lag(close" not in below and "pod-split" not in below
